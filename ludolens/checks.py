@@ -20,7 +20,7 @@ from ludolens.operators import outliers, regression, trends
 from ludolens.plans.clean import clean_games
 from ludolens.plans.daily import DailyPaths, run_daily
 from ludolens.plans.fetch import ingest_details, plan_fetch, update_catalogue
-from ludolens.plans.reports import detect_outliers, predict_prices, rank_popularity
+from ludolens.plans.reports import detect_outliers, predict_prices
 from ludolens.samples import RAW_GAMES_SQL, SAMPLE_RATES, raw_games, table
 from ludolens.scratch import scratch_path, write_scratch
 from ludolens.sources.documents import (
@@ -672,7 +672,7 @@ _BY_YEAR = "partition by release_year"
 @_check(_ranked_sql(*_GENRES, _BY_YEAR, per_item=False))
 def rank_genres(spark: SparkSession, folder: str) -> DataFrame:
     """Lists of genres ranked within years."""
-    return _labelled(rank_popularity(_cleaned(spark, folder)).genres)
+    return _labelled(trends.rank_genres(_cleaned(spark, folder)))
 
 
 @_check(_ranked_sql(*_GENRES, _BY_YEAR, per_item=True))

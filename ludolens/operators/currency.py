@@ -42,11 +42,16 @@ def checked_rates(rates: DataFrame) -> DataFrame:
 
     Two rates for one code would double rows, so they are an error.
     """
-    rates = rates.select("currency_code", "usd_per_unit")
-    rows, codes = rates.agg(F.count("currency_code"), F.count_distinct("currency_code")).first()
-    if rows != codes:
+    rates = rates.select("currency_code", "usd_per_unit").where(F.col("currency_code").isNotNull())
+    codes = [row[0] for row in rates.limit(MAX_CURRENCIES + 1).collect()]
+    if len(codes) <= MAX_CURRENCIES:
+        unique, checked = len(set(codes)) == len(codes), F.broadcast(rates)
+    else:
+        repeated = rates.groupBy("currency_code").count().where(F.col("count") > 1)
+        unique, checked = repeated.isEmpty(), rates
+    if not unique:
         raise ValueError("rates must have one row per currency code")
-    return F.broadcast(rates) if rows <= MAX_CURRENCIES else rates
+    return checked
 
 
 def to_usd(
@@ -75,13 +80,11 @@ def to_usd_udf(rates: DataFrame):
     For code that wants a function instead of a join. The rates, refused beyond
     ``MAX_CURRENCIES`` rows, travel inside the function.
     """
-    rows = rates.select("currency_code", "usd_per_unit").limit(MAX_CURRENCIES + 1).collect()
+    rows = checked_rates(rates).limit(MAX_CURRENCIES + 1).collect()
     if len(rows) > MAX_CURRENCIES:
         raise ValueError("too many rates for a function; join them with to_usd")
     codes = [row["currency_code"] for row in rows]
     per_unit = [row["usd_per_unit"] for row in rows]
-    if len(set(codes)) != len(codes):
-        raise ValueError("rates must have one row per currency code")
 
     @F.arrow_udf("double")
     def convert(amount: pa.Array, code: pa.Array) -> pa.Array:

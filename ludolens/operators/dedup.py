@@ -10,49 +10,58 @@ from pyspark.sql import functions as F
 from ludolens.scratch import broadcast_small
 
 
-def _order_struct(df: DataFrame, order: list[str | Column] | None) -> Column:
-    return F.struct(*(order or df.columns))
+def _ordered_row(df: DataFrame, key: str, order: list[str] | None) -> Column:
+    """All columns but the key, those of ``order`` first.
+
+    The remaining columns break ties, so the picked row is the same in every
+    run, and one struct serves as both order and payload.
+    """
+    lead = [c for c in order or [] if c != key]
+    return F.struct(*lead, *[c for c in df.columns if c != key and c not in lead])
 
 
-def dedup(df: DataFrame, key: str, order: list[str | Column] | None = None) -> DataFrame:
-    """Keep the first row of each key by ``order`` (default: all columns)."""
-    first = F.min_by(F.struct(*df.columns), _order_struct(df, order))
-    return df.groupBy(key).agg(first.alias("_row")).select("_row.*")
+def dedup(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """Keep the first row of each key by ``order``, then by all columns."""
+    first = F.min(_ordered_row(df, key, order)).alias("_row")
+    return df.groupBy(key).agg(first).select(key, "_row.*").select(*df.columns)
 
 
-def keep_last(df: DataFrame, key: str, order: list[str | Column] | None = None) -> DataFrame:
-    """Keep the last row of each key by ``order`` (default: all columns)."""
-    last = F.max_by(F.struct(*df.columns), _order_struct(df, order))
-    return df.groupBy(key).agg(last.alias("_row")).select("_row.*")
+def keep_last(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """Keep the last row of each key by ``order``, then by all columns."""
+    last = F.max(_ordered_row(df, key, order)).alias("_row")
+    return df.groupBy(key).agg(last).select(key, "_row.*").select(*df.columns)
 
 
 def merge_tables(
-    old: DataFrame, new: DataFrame, key: str, order: list[str | Column] | None = None
+    old: DataFrame, new: DataFrame, key: str, order: list[str] | None = None
 ) -> DataFrame:
     """Stack two tables and keep one row per key; a row of ``new`` wins.
 
     Neither side needs unique keys. Rows of one side with the same key are
     decided by ``order``.
     """
-    order = order or list(new.columns)
     stacked = old.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
-    return keep_last(stacked, key, ["_batch", *order]).drop("_batch")
+    return keep_last(stacked, key, ["_batch", *(order or [])]).drop("_batch")
 
 
-def upsert(
-    old: DataFrame, new: DataFrame, key: str, order: list[str | Column] | None = None
-) -> DataFrame:
-    """Like :func:`merge_tables` for an ``old`` table whose keys are unique.
+def replace_rows(old: DataFrame, newest: DataFrame, key: str) -> DataFrame:
+    """``old`` with the rows of ``newest`` added in place of those they replace.
 
-    The large table is only filtered, not aggregated; if the new keys are few
-    it is not shuffled either.
+    Keys are unique on either side. The large table is only filtered, not
+    aggregated; if the new keys are few it is not shuffled either.
     """
-    newest = keep_last(new, key, order)
     replaced = broadcast_small(newest.select(F.col(key).alias("_replaced")))
     kept = old.join(replaced, F.col(key).eqNullSafe(F.col("_replaced")), "left_anti")
     return kept.unionByName(newest)
 
 
+def upsert(
+    old: DataFrame, new: DataFrame, key: str, order: list[str] | None = None
+) -> DataFrame:
+    """Like :func:`merge_tables` for an ``old`` table whose keys are unique."""
+    return replace_rows(old, keep_last(new, key, order), key)
+
+
 def null_key_count(df: DataFrame, key: str) -> DataFrame:
     """How many rows have no key, as one row ``null_keys``."""
     return df.agg(F.count_if(F.col(key).isNull()).alias("null_keys"))

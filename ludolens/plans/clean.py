@@ -1,6 +1,6 @@
 """The cleaning job: raw game rows to typed, deduplicated ones."""
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ludolens import schemas
@@ -14,7 +14,7 @@ from ludolens.operators.dedup import dedup, require_key
 def clean_games(
     raw: DataFrame,
     rates: DataFrame,
-    order: list[str | Column] | None = None,
+    order: list[str] | None = None,
     passthrough: bool = False,
     seen: Observation | None = None,
 ) -> DataFrame:

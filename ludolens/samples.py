@@ -22,6 +22,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows over all cores if they come from fewer files than cores.
+
+    A small table is one row group, which one task would read and process
+    alone. A table of many files stays as its scan splits it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 _RELEASE_DATE = """
     case l_linenumber
       when 1 then date_format(l_shipdate, 'M/d/yyyy')
@@ -75,6 +85,7 @@ def raw_games(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"
     )
+    lines = spread(lines, "l_orderkey", "l_linenumber")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey)
     return joined.selectExpr("*", f"{_AMOUNT} as amount").selectExpr(
         "case when l_quantity < 50 then l_orderkey * 8 + l_linenumber end as appid",
