@@ -7,7 +7,7 @@ the shuffle; a key that holds a third of all rows costs one row per task.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludolens.scratch import broadcast_small
+from ludolens.scratch import broadcast_small, write_scratch
 
 
 def _ordered_row(df: DataFrame, key: str, order: list[str] | None) -> Column:
@@ -58,8 +58,12 @@ def replace_rows(old: DataFrame, newest: DataFrame, key: str) -> DataFrame:
 def upsert(
     old: DataFrame, new: DataFrame, key: str, order: list[str] | None = None
 ) -> DataFrame:
-    """Like :func:`merge_tables` for an ``old`` table whose keys are unique."""
-    return replace_rows(old, keep_last(new, key, order), key)
+    """Like :func:`merge_tables` for an ``old`` table whose keys are unique.
+
+    The newest rows are written once, as measuring, filtering and adding them
+    all read them.
+    """
+    return replace_rows(old, write_scratch(keep_last(new, key, order)), key)
 
 
 def null_key_count(df: DataFrame, key: str) -> DataFrame:

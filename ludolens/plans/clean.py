@@ -17,6 +17,7 @@ def clean_games(
     order: list[str] | None = None,
     passthrough: bool = False,
     seen: Observation | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Clean raw game rows.
 
@@ -24,6 +25,7 @@ def clean_games(
     happens on the raw columns, so the one shuffle carries no computed column
     and each kept text is parsed once. ``seen`` collects ``rows`` and
     ``null_keys`` of the input during the same pass.
+    ``unique`` says that ids do not repeat, and nothing is shuffled.
     """
     raw = raw.select(*schemas.RAW_GAMES.fieldNames())
     if seen is not None:
@@ -32,8 +34,9 @@ def clean_games(
             F.count("*").alias("rows"),
             F.count_if(F.col("appid").isNull()).alias("null_keys"),
         )
-    unique = dedup(require_key(raw, "appid"), "appid", order)
-    priced = to_usd(with_currency(parse_price(unique), passthrough), rates)
+    keyed = require_key(raw, "appid")
+    games = keyed if unique else dedup(keyed, "appid", order)
+    priced = to_usd(with_currency(parse_price(games), passthrough), rates)
     return fill_unknown(priced, ["name"]).select(
         F.col("appid").try_cast("int").alias("appid"),
         "name",

@@ -12,10 +12,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A broadcast side has a few fixed-width columns; this many rows stay in the
-# tens of megabytes.
-BROADCAST_ROWS = 500_000
+# Largest table marked for broadcast, measured before it is marked.
+BROADCAST_BYTES = 64 << 20
+
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 _own_folder = None
 
@@ -47,10 +49,19 @@ def write_scratch(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+def table_bytes(df: DataFrame) -> int:
+    """About how much memory the rows of ``df`` take, by counting them."""
+    if all(isinstance(f.dataType, _FIXED_WIDTH) for f in df.schema.fields):
+        return df.count() * 16 * len(df.columns)
+    text = F.octet_length(F.to_json(F.struct(*df.columns))).cast("bigint")
+    return df.agg(F.sum(text + 16 * len(df.columns))).first()[0] or 0
+
+
+def broadcast_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if it measures at most ``max_bytes``.
 
     A larger side is returned unmarked: the join then shuffles both sides and
-    adaptive execution splits skewed keys.
+    adaptive execution splits skewed keys. Measuring runs ``df``, so pass a
+    written table or a small aggregate of one.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if table_bytes(df) <= max_bytes else df

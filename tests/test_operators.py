@@ -299,7 +299,7 @@ def test_flatten_details(spark, rows):
         "publishers": ["p"],
     }
     assert got[11]["price"] is None and got[11]["genres"] == [] and got[11]["developers"] == []
-    cached = details.cache_entries(df, TODAY)
+    cached = details.cache_entries(details.successes(df), TODAY)
     assert {r["appid"] for r in cached.collect()} == {10, 11, 13, 14, 15, 16}
     served = details.flatten_data(cached)
     assert {r["appid"] for r in served.collect()} == {10, 11, 16}

@@ -76,6 +76,26 @@ def test_clean_plan_broadcasts_lookups_shuffles_once_and_has_no_python(raw, rate
     assert "SortMergeJoin" not in text and "Python" not in text and "Arrow" not in text
 
 
+def test_clean_of_unique_ids_does_not_shuffle(raw, rates, rows):
+    once = raw.where("name is null or name <> 'later'")
+    unshuffled = clean_games(once, rates, unique=True)
+    assert "Exchange hashpartitioning" not in plan_text(unshuffled)
+    assert rows(unshuffled) == rows(clean_games(once, rates))
+
+
+def test_broadcast_is_measured(spark):
+    numbers = spark.range(1000)
+    texts = numbers.select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert scratch.table_bytes(numbers) < 50_000 < scratch.table_bytes(texts)
+    joined = lambda small: plan_text(spark.range(10).join(small, "id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in joined(scratch.broadcast_small(numbers))
+        assert "BroadcastHashJoin" not in joined(scratch.broadcast_small(numbers, max_bytes=100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_trend_aggregates_before_the_shuffle(spark):
     df = read_or_empty(spark, "/nowhere/at/all", schemas.CLEANED_GAMES)
     assert "partial_sum" in plan_text(trends.avg_price_trends(df, explode=True))
