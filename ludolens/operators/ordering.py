@@ -126,8 +126,10 @@ def top_k(
     """
     if k > FIRST_ROWS:
         return number_rows(df, order, name, within).where(F.col(name) <= k)
+    place = F.row_number()
     if within:
-        window = W.partitionBy(*within).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
-    rank = F.row_number().over(W.orderBy(*order))
-    return first_rows(df, order, k).withColumn(name, rank)
+        ranked = df.withColumn(name, place.over(W.partitionBy(*within).orderBy(*order)))
+        kept = ranked.where(F.col(name) <= k)
+    else:
+        kept = first_rows(df, order, k).withColumn(name, place.over(W.orderBy(*order)))
+    return kept.withColumn(name, F.col(name).cast("bigint"))
