@@ -12,9 +12,9 @@ HEADLINE = [
     "parse_price",
     "price_to_usd",
     "price_to_usd_udf",
-    "release_years",
+    "release_year",
     "year_prefix_avg",
-    "cleaned_games",
+    "clean_games",
     "keep_last",
     "upsert_keep_last",
     "catalogue_upsert",
@@ -34,10 +34,10 @@ HEADLINE = [
     "outlier_bounds_nearest",
     "flag_outliers",
     "ols_price",
-    "predicted_prices",
-    "planned_fetch",
-    "ingested_details",
-    "daily_run",
+    "predict_prices",
+    "plan_fetch",
+    "ingest_details",
+    "run_daily",
 ]
 
 

@@ -31,7 +31,14 @@ from ludolens.sources.documents import (
 )
 from ludolens.sources.lookups import rate_table
 from ludolens.sources.models import load_model, save_model
-from ludolens.sources.state import load_processed, save_processed
+from ludolens.sources.state import (
+    load_cache,
+    load_calls,
+    load_processed,
+    record_calls,
+    save_cache,
+    save_processed,
+)
 from ludolens.sources.tables import (
     read_or_empty,
     read_table,
@@ -48,12 +55,12 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def _check(sql: str) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with its SQL."""
+def _check(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query with its SQL, under ``name`` or its function's name."""
 
     def register(query: Query) -> Query:
-        _QUERIES[query.__name__] = query
-        _SQL[query.__name__] = sql
+        _QUERIES[name or query.__name__] = query
+        _SQL[name or query.__name__] = sql
         return query
 
     return register
@@ -282,7 +289,7 @@ def price_to_usd_udf(spark: SparkSession, folder: str) -> DataFrame:
 @_check(f"""
 with {RAW_GAMES_SQL}, dated as (select release_date, {_YEAR_SQL} as release_year from raw_games)
 select release_date, {_LABEL} as release_year from dated
-""")
+""", name="release_year")
 def release_years(spark: SparkSession, folder: str) -> DataFrame:
     """The year of every release date text."""
     return raw_games(spark, folder).select(
@@ -311,7 +318,7 @@ def year_prefix_avg(spark: SparkSession, folder: str) -> DataFrame:
 # --- cleaning and keys ------------------------------------------------------
 
 
-@_check(f"{_CLEANED_SQL} select {_CLEANED_COLUMNS} from cleaned")
+@_check(f"{_CLEANED_SQL} select {_CLEANED_COLUMNS} from cleaned", name="clean_games")
 def cleaned_games(spark: SparkSession, folder: str) -> DataFrame:
     """The whole cleaning job."""
     return _labelled(_cleaned(spark, folder))
@@ -844,7 +851,7 @@ def _to_cents(predicted: DataFrame) -> DataFrame:
     return predicted.withColumn("predicted_price", F.round("predicted_price", 2))
 
 
-@_check(_PREDICTED_SQL)
+@_check(_PREDICTED_SQL, name="predict_prices")
 def predicted_prices(spark: SparkSession, folder: str) -> DataFrame:
     """Held-out prices beside their predictions."""
     return _to_cents(predict_prices(write_scratch(_cleaned(spark, folder))).rows)
@@ -887,7 +894,7 @@ def roundtrip_zstd(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, path)
 
 
-@_check(_ORDER_SQL)
+@_check(_ORDER_SQL, name="json_roundtrip")
 def roundtrip_json(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written as JSON lines and read back."""
     path = scratch_path(spark)
@@ -904,7 +911,7 @@ def roundtrip_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     return read_catalogue(spark, path, layout="lines")
 
 
-@_check(_ORDER_SQL)
+@_check(_ORDER_SQL, name="read_or_empty")
 def read_or_empty_table(spark: SparkSession, folder: str) -> DataFrame:
     """A stored table stacked on one that does not exist yet."""
     stored = _orders(spark, folder)
@@ -920,6 +927,31 @@ def processed_ids(spark: SparkSession, folder: str) -> DataFrame:
     return load_processed(spark, path)
 
 
+@_check("""
+select user_id as appid, props as details, strftime(ts, '%Y-%m-%d') as fetched
+from events where cast(ts as date) >= date '2024-01-29'
+""")
+def cache_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """A cache written in folders by day; only fresh folders are read back."""
+    path = scratch_path(spark)
+    save_cache(_cache(spark, folder), path)
+    return ids.fresh(load_cache(spark, path), TODAY, ttl_days=1).select(
+        "appid", "details", F.date_format("fetched_date", "yyyy-MM-dd").alias("fetched")
+    )
+
+
+@_check("""
+select cast(count(*) as bigint) + 7 as used, greatest(1000 - count(*) - 7, 0) as remaining
+from events where cast(ts as date) = date '2024-01-30'
+""")
+def calls_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored call log, seven more calls recorded, and what is left."""
+    path = scratch_path(spark)
+    write_table(_call_log(spark, folder), path)
+    record_calls(spark, path, TODAY, 7)
+    return limits.remaining_quota(load_calls(spark, path), TODAY, limit=1000)
+
+
 # --- whole jobs ---------------------------------------------------------------------
 
 
@@ -942,7 +974,7 @@ select appid, batch_no, 'fetch' as source, '' as details from missing, quota
 where place <= remaining
 union all
 select appid, batch_no, 'cache', props from wanted join cached on user_id = appid and place = 1
-""")
+""", name="plan_fetch")
 def planned_fetch(spark: SparkSession, folder: str) -> DataFrame:
     """Parts not yet supplied: served from the cache, or fetched in batches."""
     plan = plan_fetch(
@@ -992,7 +1024,7 @@ select {_FLAT_COLUMNS} from (
   select *, row_number() over (partition by appid order by batch_no desc, {_LATEST_ORDER}) as place
   from stacked
 ) where place = 1
-""")
+""", name="ingest_details")
 def ingested_details(spark: SparkSession, folder: str) -> DataFrame:
     """Answers flattened, capped by size, and merged over a store."""
     none = F.array().cast("array<string>")
@@ -1019,7 +1051,7 @@ def ingested_details(spark: SparkSession, folder: str) -> DataFrame:
   ) where place = 1
 ), {_cleaned_sql("latest")}
 select {_CLEANED_COLUMNS} from cleaned
-""")
+""", name="run_daily")
 def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     """A whole day from downloaded files; the cleaned table it leaves."""
     paths = DailyPaths.under(scratch_path(spark))

@@ -6,10 +6,11 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ludolens import checks, schemas, scratch
-from ludolens.operators import trends
+from ludolens.operators import ids, ordering, trends
 from ludolens.plans import DailyPaths, clean_games, ingest_details, plan_fetch, run_daily
 from ludolens.plans.daily import take_in
 from ludolens.sources import (
+    load_cache,
     load_calls,
     load_processed,
     rate_table,
@@ -17,6 +18,7 @@ from ludolens.sources import (
     read_json_or_empty,
     read_or_empty,
     read_table,
+    save_cache,
     save_processed,
     upsert_table,
     write_json,
@@ -119,6 +121,28 @@ def test_ranking_moves_only_counts_to_one_task(spark):
     assert "BroadcastHashJoin" in text
 
 
+def test_top_k_cuts_before_the_shuffle(spark):
+    counts = spark.range(100).select("id", (F.col("id") % 3).alias("g"))
+    within = plan_text(ordering.top_k(counts, 2, ["id"], within=["g"]))
+    assert within.count("WindowGroupLimit") == 2
+    assert "TakeOrderedAndProject" in plan_text(ordering.first_rows(counts, ["id"], 2))
+
+
+def test_fresh_cache_prunes_day_folders(spark, tmp_path):
+    entries = [(i, "{}", DAY - datetime.timedelta(days=i)) for i in range(4)]
+    save_cache(spark.createDataFrame(entries, schemas.DETAILS_CACHE), str(tmp_path / "cache"))
+    fresh = ids.fresh(load_cache(spark, str(tmp_path / "cache")), DAY, ttl_days=1)
+    assert fresh.count() == 2 and len(fresh.inputFiles()) >= 2
+    assert "PartitionFilters: [isnotnull(fetched_date" in plan_text(fresh)
+
+
+def test_new_ids_are_reduced_before_the_shuffle(spark):
+    listed = spark.range(100).select((F.col("id") % 3).alias("appid"))
+    text = plan_text(ids.only_new(listed, listed.limit(2)))
+    assert "partial_max" in text or "partial_bool_or" in text
+    assert "Join" not in text
+
+
 def test_read_or_empty_and_round_trips(spark, tmp_path, raw, rows):
     path = str(tmp_path / "raw")
     assert read_or_empty(spark, path, schemas.RAW_GAMES).count() == 0
