@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolens.llm import language, mixing, sharding
+from ludolens.llm import fingerprints, language, mixing, sharding
 from ludolens.llm.tables import table
 
 SHARDS = 16
@@ -44,8 +44,25 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its text edited with the next document's."""
+    compared = fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        fingerprints.sha256_hex(F.col("edited_text")).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+        "prefix_edited",
+        "prefix_next",
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_fingerprints": op2_fingerprints,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
 }
