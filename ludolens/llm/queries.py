@@ -1,12 +1,14 @@
 """One query per operator of this folder, over its whole table, and SQL where it can say the same."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolens.llm import fingerprints, language, mixing, sharding
+from ludolens.llm import fingerprints, language, mixing, packing, sharding
 from ludolens.llm.tables import table
 
 SHARDS = 16
+VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +62,17 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and offset of each piece of every document."""
+    pieces = packing.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    packed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packed.withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
+    "op3_packing": op3_packing,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
 }
