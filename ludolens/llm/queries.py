@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolens.llm import fingerprints, language, mixing, packing, sharding
+from ludolens.llm import fingerprints, language, mixing, packing, sharding, warc
 from ludolens.llm.tables import table
 
 SHARDS = 16
@@ -69,10 +69,25 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("key", "doc_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to and read back from archives."""
+    pages = table(spark, sf_dir, "pages")
+    records = warc.read_archives(warc.write_archives(pages, warc.archive_folder(spark)))
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return records.select(
+        warc.key_of("record_id", kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.key_of("refers_to", kind).alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
+    "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
 }
