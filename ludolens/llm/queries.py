@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolens.llm import fingerprints, language, mixing, packing, sharding, warc
+from ludolens.llm import embeddings, fingerprints, language, mixing, packing, sharding, warc
 from ludolens.llm.tables import table
 
 SHARDS = 16
@@ -83,12 +83,43 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embeddings.link(table(spark, sf_dir, "embeddings"))
+
+
+_EMBEDDING_SQL = """
+with recursive valid as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs as (
+  select a.vec_id as a, b.vec_id as b from valid a join valid b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(node, low) as (
+  select vec_id, vec_id from valid
+  union
+  select p.b, r.low from reach r join pairs p on p.a = r.node where r.low < p.b
+), least as (
+  select node, min(low) as component from reach group by node
+), linked as (
+  select a, count(*) as n from pairs group by a
+)
+select e.vec_id, coalesce(n, 0) as n_links, coalesce(component, e.vec_id) as component_id,
+  coalesce(e.vec_id = coalesce(component, e.vec_id), true) as kept
+from embeddings e left join linked on a = e.vec_id left join least on node = e.vec_id
+"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sharding": op7_sharding,
 }
 
@@ -126,4 +157,4 @@ select doc_id, size, source_size, target,
 from rated
 """
 
-ORACLE_SQL = {"op5_mixing": _MIX_SQL}
+ORACLE_SQL = {"op5_mixing": _MIX_SQL, "op6_embedding_dedup": _EMBEDDING_SQL}
