@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolens.llm import embeddings, fingerprints, language, mixing, packing, sharding, warc
+from ludolens.llm import embeddings, fingerprints, language, minhash, mixing, packing, sharding, warc
 from ludolens.llm.tables import table
 
 SHARDS = 16
@@ -113,6 +113,41 @@ from embeddings e left join linked on a = e.vec_id left join least on node = e.v
 """
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document, and whether it stays for its class."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+_NEAR_SQL = r"""
+with recursive texts as (
+  select min(doc_id) as node, text from documents where doc_id is not null and text is not null group by text
+), worded as (
+  select node, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') as w from texts
+), shingled as (
+  select node, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from worded
+), elements as (
+  select node, s, row_number() over (partition by node, s) as nth from shingled
+), sizes as (
+  select node, count(*) as n from elements group by node
+), shared as (
+  select a.node as a, b.node as b, count(*) as c from elements a join elements b
+    on a.s = b.s and a.nth = b.nth and a.node <> b.node group by a.node, b.node
+), pairs as (
+  select a, b from shared join sizes x on x.node = a join sizes y on y.node = b where c >= 0.8 * (x.n + y.n - c)
+), reach(node, low) as (
+  select node, node from texts
+  union
+  select p.b, r.low from reach r join pairs p on p.a = r.node where r.low < p.b
+), least as (
+  select node, min(low) as class_id from reach group by node
+)
+select d.doc_id, coalesce(l.class_id, d.doc_id) as class_id, d.doc_id = coalesce(l.class_id, d.doc_id) as kept
+from documents d left join texts t on d.text = t.text and d.doc_id is not null left join least l on l.node = t.node
+"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
@@ -121,6 +156,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sharding": op7_sharding,
+    "op8_minhash_dedup": op8_minhash_dedup,
 }
 
 _MIX_SQL = r"""
@@ -157,4 +193,8 @@ select doc_id, size, source_size, target,
 from rated
 """
 
-ORACLE_SQL = {"op5_mixing": _MIX_SQL, "op6_embedding_dedup": _EMBEDDING_SQL}
+ORACLE_SQL = {
+    "op5_mixing": _MIX_SQL,
+    "op6_embedding_dedup": _EMBEDDING_SQL,
+    "op8_minhash_dedup": _NEAR_SQL,
+}
