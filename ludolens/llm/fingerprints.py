@@ -37,6 +37,9 @@ BASES = (911382323, 972663749)
 
 _SAMPLE_PER_RANGE = 16
 
+# Rows that a task compares before it hands the results on.
+_ROWS_AT_ONCE = 200
+
 
 class Prefixes(NamedTuple):
     """Prefix hashes of one text: ``hashes[m][i]`` covers its first ``i`` code points."""
@@ -245,18 +248,22 @@ def with_neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None  # the row whose neighbour comes next
         for batch in batches:
-            keys, found = [], []
-            columns = [batch.column(c).to_pylist() for c in ("key", "text", "part", "after")]
-            for key_value, own_text, part, after in zip(*columns):
-                if waiting is None and after:
-                    continue
-                own = prefixes(code_points(own_text))
-                if waiting is not None:
-                    keys.append(waiting[0])
-                    found.append(compare(waiting[1], waiting[2], own_text, own))
-                waiting = None if after else (key_value, own_text, own)
-            made = [pa.array(column, kind) for column, kind in zip(zip(*found) if found else [()] * len(fields), fields.values())]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column("key").type), *made], ["key", *fields])
+            for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part = batch.slice(at, _ROWS_AT_ONCE)
+                keys, found = [], []
+                columns = [part.column(c).to_pylist() for c in ("key", "text", "after")]
+                for key_value, own_text, after in zip(*columns):
+                    if waiting is None and after:
+                        continue
+                    own = prefixes(code_points(own_text))
+                    if waiting is not None:
+                        keys.append(waiting[0])
+                        found.append(compare(waiting[1], waiting[2], own_text, own))
+                    waiting = None if after else (key_value, own_text, own)
+                if found:
+                    made = [pa.array(column, kind) for column, kind in zip(zip(*found), fields.values())]
+                    named = [pa.array(keys, batch.column("key").type), *made]
+                    yield pa.RecordBatch.from_arrays(named, ["key", *fields])
 
     schema = "n_chars bigint, fingerprint string, edited_text string, edited_fingerprint string, near_edited double, near_next double, prefix_edited bigint, prefix_next bigint"
     ranged = _by_ranges(docs, key, text)
