@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolens.llm import embeddings, fingerprints, language, minhash, mixing, packing, sharding, warc
+from ludolens.llm import embeddings, fingerprints, language, minhash, mixing, packing, secrets, sharding, warc
 from ludolens.llm.tables import table
 
 SHARDS = 16
@@ -148,6 +148,14 @@ from documents d left join texts t on d.text = t.text and d.doc_id is not null l
 """
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate in every document with the chance that it is a secret."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), "word_no", "candidate", *secrets.FEATURES, "score", "is_secret"
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
@@ -157,6 +165,7 @@ QUERIES = {
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sharding": op7_sharding,
     "op8_minhash_dedup": op8_minhash_dedup,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 _MIX_SQL = r"""
