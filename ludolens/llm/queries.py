@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolens.llm import embeddings, fingerprints, language, minhash, mixing, packing, secrets, sharding, warc
+from ludolens.llm import embeddings, fingerprints, language, minhash, mixing, packing, repeats, secrets, sharding, warc
 from ludolens.llm.tables import table
 
 SHARDS = 16
@@ -156,6 +156,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that occur elsewhere too."""
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
@@ -166,6 +172,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_secret_scan": op9_secret_scan,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 _MIX_SQL = r"""
