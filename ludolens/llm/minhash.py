@@ -55,7 +55,7 @@ def _earliest(hashes: np.ndarray, text: np.ndarray, until: np.ndarray, size: int
     nth = 0
     while len(hashes):
         nth += 1
-        seed = hashes + _U(nth) * _U(0x9E3779B97F4A7C15)
+        seed = hashes + _U(nth * 0x9E3779B97F4A7C15 % (1 << 64))
         chance = ((mixed(seed ^ _TIME) >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53
         time = time - np.log(chance)
         hit = time < until[text]

@@ -1,0 +1,80 @@
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from test_minhash import _classes
+from test_packing import _whole
+
+import corpus_pipeline
+from ludolens.scratch import write_scratch
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def test_stages_are_those_of_the_list():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language_id", "near_dedup", "secret_scan", "source_mix", "best_fit_packing",
+    ]
+
+
+def _chain(spark, docs):
+    made = [write_scratch(docs)]
+    for _, stage in corpus_pipeline.STAGES:
+        made.append(write_scratch(stage(spark, made[-1], "")))
+    return made
+
+
+def test_every_stage_on_odd_rows(spark, odd):
+    docs = odd.withColumn("row", F.lit("clash")).withColumn("count", F.lit(1)).withColumn("found", F.lit(None).cast("int"))
+    made = _chain(spark, docs)
+    assert all(m.columns == docs.columns for m in made[:-1])
+    letters = [r["text"] for r in made[1].collect()]
+    assert sorted(letters) == sorted(r["text"] for r in odd.collect() if r["text"] and any(c.isalpha() for c in r["text"]))
+    assert all(r["lang"] for r in made[1].collect())
+    # Repeated rows and equal texts leave one each.
+    assert sorted(r["text"] for r in made[2].collect()) == sorted(set(letters))
+    _whole(made[-1].collect(), 2048)
+
+
+def test_no_rows(spark, documents):
+    made = _chain(spark, documents([]))
+    assert [m.count() for m in made] == [0] * 6
+    assert made[-1].columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    return _chain(spark, spark.read.parquet(f"{FOLDER}/documents.parquet"))
+
+
+def test_near_dedup_keeps_the_smallest_of_each_class(stages):
+    rows = [(r["doc_id"], r["text"]) for r in stages[1].collect()]
+    want = sorted(k for k, c in _classes(rows) if k == c)
+    assert sorted(r["doc_id"] for r in stages[2].collect()) == want
+
+
+def test_secrets_are_gone_and_other_text_is_not_touched(stages):
+    before = {r["doc_id"]: r["text"] for r in stages[2].collect()}
+    for r in stages[3].collect():
+        assert r["text"] == before[r["doc_id"]] or "[SECRET]" in r["text"]
+        assert "[SECRET]" in r["text"] or 'token = "' not in r["text"]
+
+
+def test_copies_follow_the_rates(stages):
+    copies = Counter(r["doc_id"] for r in stages[4].collect())
+    assert copies.keys() <= {r["doc_id"] for r in stages[3].collect()}
+    assert max(copies.values()) <= 3
+
+
+def test_pieces_are_packed_whole(stages):
+    rows = stages[5].collect()
+    _whole(rows, 2048)
+    documents = Counter(r["doc_id"] for r in stages[4].collect())
+    assert Counter(r["doc_id"] for r in rows if r["piece"] == 0) == documents
+
+
+def test_run_gives_the_same_rows(spark, stages):
+    place = ["sequence_id", "offset"]
+    ours = Counter(map(tuple, corpus_pipeline.run(spark, FOLDER).drop(*place).collect()))
+    assert ours == Counter(map(tuple, stages[5].drop(*place).collect()))

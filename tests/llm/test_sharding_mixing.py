@@ -1,0 +1,102 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from ludolens.llm import mixing, sharding
+
+
+def test_shards_move_only_to_the_added_one(spark):
+    keys = spark.range(3000).select(
+        sharding.rendezvous_shard(F.col("id"), [1.0] * 7).alias("a"),
+        sharding.rendezvous_shard(F.col("id"), [1.0] * 8).alias("b"),
+    )
+    rows = keys.collect()
+    assert all(r["b"] in (r["a"], 7) for r in rows)
+    moved = sum(r["b"] == 7 for r in rows) / 3000
+    assert abs(moved - 1 / 8) < 0.03
+
+
+def test_shards_follow_weights(spark):
+    rows = spark.range(8000).select(sharding.rendezvous_shard(F.col("id"), [1.0, 3.0]).alias("s")).collect()
+    assert abs(sum(r["s"] for r in rows) / 8000 - 0.75) < 0.03
+
+
+def test_place_odd_rows(odd):
+    # An extra column with a name that the operator uses itself.
+    got = sharding.place(odd.withColumn("shard", F.lit("x")).withColumn("_slot", F.lit(1)), [1.0] * 4).collect()
+    texts = defaultdict(Counter)
+    for r in odd.collect():
+        texts[r["doc_id"]][(len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode()))] += 1
+    slots = defaultdict(list)
+    for r in got:
+        assert texts[r["doc_id"]][(r["size"], r["text_crc32"])] > 0
+        slots[r["shard"]].append(r["slot"])
+    assert len(got) == 12
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({r["shard"] for r in got if r["doc_id"] is None}) == 1
+    assert sharding.place(odd.limit(0), [1.0]).collect() == []
+
+
+def test_write_shards(spark, odd, tmp_path):
+    sharding.write_shards(odd, str(tmp_path / "out"), [1.0] * 3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 12
+    assert set(back.columns) == {*odd.columns, "shard_number"}
+
+
+def _targets(sizes, weights, most):
+    """Targets by raising a common level until all words are given out."""
+    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, stopped = sum(sizes.values()), set()
+    while True:
+        left = total - sum(most * sizes[s] for s in stopped)
+        share = sum(weight[s] for s in sizes if s not in stopped) or 1
+        over = {s for s in sizes if s not in stopped and left * weight[s] / share > most * sizes[s] + 1e-9}
+        if not over:
+            return {s: most * sizes[s] if s in stopped else left * weight[s] / share for s in sizes}
+        stopped |= over
+
+
+def test_targets_stop_at_the_limit(spark):
+    rng = random.Random(6)
+    for _ in range(3):
+        sizes = {f"s{i:02}": rng.choice([0, 1, 10, 500, 4000]) for i in range(9)} | {None: 70}
+        rows = spark.createDataFrame(list(sizes.items()), "source string, size bigint")
+        got = {r["source"]: r["target"] for r in mixing.source_targets(rows).collect()}
+        want = _targets(sizes, (5, 2, 1), 3)
+        assert got.keys() == want.keys()
+        assert all(abs(got[s] - want[s]) < 1e-6 * max(1, want[s]) for s in got)
+
+
+def test_mix_odd_rows(odd):
+    clash = odd.withColumn("size", F.lit("mine")).withColumn("target", F.lit(-1)).withColumn("copies", F.lit(9))
+    mixed = mixing.mix(clash)
+    rows = mixed.collect()
+    assert len(rows) == 12
+    for r in rows:
+        assert r["size"] == len((r["row"]["text"] or "").split())
+        assert r["copies"] in (int(r["rate"]), int(r["rate"]) + 1)
+        assert r["copies"] <= 3
+    emitted = mixing.emit_copies(mixed)
+    assert emitted.columns == clash.columns
+    assert emitted.count() == sum(r["copies"] for r in rows)
+    again = {(r["row"]["doc_id"], r["row"]["text"], r["copies"]) for r in mixing.mix(clash).collect()}
+    assert again == {(r["row"]["doc_id"], r["row"]["text"], r["copies"]) for r in rows}
+    assert mixing.mix(odd.limit(0)).collect() == []
+
+
+def test_taken_words_come_near_the_target(documents):
+    rng = random.Random(7)
+    docs = documents(
+        [(i, " ".join(["w"] * rng.randint(5, 40)), "en", rng.choice("abcdef")) for i in range(6000)]
+    )
+    rows = mixing.mix(docs).select("row.source", "size", "copies", "target").collect()
+    taken, target = Counter(), {}
+    for r in rows:
+        taken[r["source"]] += r["size"] * r["copies"]
+        target[r["source"]] = r["target"]
+    # Independent draws: five standard deviations are at most a fifth here.
+    assert all(abs(taken[s] / target[s] - 1) < 0.2 for s in target)
