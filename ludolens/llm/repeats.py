@@ -33,8 +33,10 @@ from ludolens.llm.suffixes import repeated_starts
 from ludolens.scratch import broadcast_small, write_scratch
 
 LENGTH = 400
-WINDOW = 32
-# Runs of one window, and so of one bucket at most twice that; a run has under 2 * LENGTH bytes.
+WINDOW = 64
+# A bucket gets about BUCKET_RUNS runs, and runs of one window up to HOT_RUNS besides; a run
+# has under 2 * LENGTH bytes.
+BUCKET_RUNS = 1_000
 HOT_RUNS = 3_000
 
 _U = np.uint64
@@ -231,7 +233,7 @@ def repeated_ranges(
     shared = write_scratch(runs.groupBy("window").count().where("count > 1"))
     cold = shared.where(F.col("count") <= hot_runs).agg(F.sum("count")).first()[0] or 0
     hot = shared.where(F.col("count") > hot_runs).agg(F.sum("count")).first()[0] or 0
-    buckets = max(1, -(-cold // hot_runs))
+    buckets = max(1, -(-cold // min(hot_runs, BUCKET_RUNS)))
     bucket = F.when(F.col("count") <= hot_runs, F.pmod(F.xxhash64("window"), F.lit(buckets)))
     wanted = write_scratch(
         runs.join(broadcast_small(shared), "window")
@@ -254,11 +256,15 @@ def repeated_ranges(
                     ["bucket", "digest", "first", "own", "piece"],
                 )
 
+    listed = broadcast_small(wanted.withColumnRenamed("digest", "wanted"))
     pieces = (
-        long_enough.join(broadcast_small(wanted.withColumnRenamed("digest", "wanted")), F.col("digest") == F.col("wanted"))
+        long_enough.join(listed, F.col("digest") == F.col("wanted"))
         .select("digest", "text", "runs")
         .mapInArrow(cut, "bucket bigint, digest binary, first bigint, own bigint, piece binary")
     )
+    if hot:
+        # Both ways read them.
+        pieces = write_scratch(pieces)
 
     def sort(group: pa.Table) -> pa.Table:
         digests, firsts, pieces = (group[c].to_pylist() for c in ("digest", "first", "piece"))

@@ -89,7 +89,18 @@ def equal_prefixes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int)
 
 
 def repeated_starts(pieces: list[bytes], starts: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each piece, which of its first ``starts[i]`` places start ``length`` bytes that another start has too."""
+    """For each piece, which of its first ``starts[i]`` places start ``length`` bytes that another start has too.
+
+    Equal pieces are sorted once; all their starts are repeated.
+    """
+    seen: dict[tuple[bytes, int], int] = {}
+    which = [seen.setdefault((piece, int(n)), len(seen)) for piece, n in zip(pieces, starts)]
+    alone = np.bincount(which, minlength=len(seen)) == 1
+    once = _repeated_starts([p for p, _ in seen], np.array([n for _, n in seen], np.int64), length)
+    return [once[i] if alone[i] else np.arange(n) for i, n in zip(which, starts)]
+
+
+def _repeated_starts(pieces: list[bytes], starts: np.ndarray, length: int) -> list[np.ndarray]:
     sizes = np.array([len(p) for p in pieces])
     data = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
     offset = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
