@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ludolens.llm.tables import bound_batches
+
 GRID = 32
 
 # Primes below 2^31 and a base for each.
@@ -165,6 +167,7 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
 def _by_ranges(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, text, part and ``after``: rows by range of the order, each range ended by the next row."""
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(
         F.col(key).alias("key"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),

@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ludolens.llm.tables import bound_batches
+
 UNDETERMINED = "und"
 SAMPLE_TEXTS = 160
 SAMPLE_WINDOW = 256
@@ -205,6 +207,7 @@ def predict_texts(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray
 
 def predictor(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     """A function from a text column to a struct of ``lang`` and ``score``."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ludolens.llm.components import components, forest
 from ludolens.llm.shingles import mixed, shingle_elements
+from ludolens.llm.tables import bound_batches
 from ludolens.scratch import broadcast_small, write_scratch
 
 SHINGLE = 5
@@ -142,6 +143,7 @@ def near_duplicates(
     text: str = "text",
 ) -> DataFrame:
     """``key`` and ``class_id``, the smallest key of the row's class, once per row of ``docs``."""
+    bound_batches(docs.sparkSession)
     named = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).where(
         "key is not null and text is not null"
     )

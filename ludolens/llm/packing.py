@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ludolens.llm.tables import bound_batches
 from ludolens.llm.tokens import encoder
 from ludolens.operators.ordering import number_rows
 from ludolens.scratch import write_scratch
@@ -49,6 +50,7 @@ def tokenize(
 
     ``tokenizer`` is the path of the vocabulary file on every worker.
     """
+    bound_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     width, closing = 4 * capacity, np.array([closing_id], "<u4").tobytes()
 

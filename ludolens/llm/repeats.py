@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ludolens.llm.shingles import mixed
 from ludolens.llm.suffixes import repeated_starts
+from ludolens.llm.tables import bound_batches
 from ludolens.scratch import broadcast_small, write_scratch
 
 LENGTH = 400
@@ -293,6 +294,7 @@ def remove_repeats(
     """key, n_bytes, n_removed, n_spans, removed (begin and end of each span) and kept (bytes) per row."""
     if length < max(8, window):
         raise ValueError("length must be 8 at least, and no shorter than the window")
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "digest", F.unhex(F.md5(F.col("text").cast("binary")))
     )

@@ -24,7 +24,7 @@ WORDS = re.compile(
 _NOT_PLAIN = re.compile("[^\t-\r -~\xa0-į]")
 
 # Words remembered per worker process; beyond it the memory starts anew.
-_REMEMBERED = 600_000
+_REMEMBERED = 300_000
 
 
 class _WordIds(dict):

@@ -35,6 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ludolens.llm.tables import bound_batches
 from ludolens.scratch import broadcast_small, scratch_path, write_scratch
 
 MIN_REVISIT_BYTES = 0
@@ -235,6 +236,7 @@ def write_archives(
     archive_bytes: int = ARCHIVE_BYTES,
 ) -> DataFrame:
     """Write a record per row into archives under ``folder``; returns their paths and record counts."""
+    bound_batches(pages.sparkSession)
     content = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select(
         F.col(key).alias("key"), F.col(url).cast("string").alias("url"), content.alias("payload")
