@@ -38,14 +38,14 @@ WINDOW = 64
 # A bucket gets about BUCKET_RUNS runs, and runs of one window up to HOT_RUNS besides; a run
 # has under 2 * LENGTH bytes.
 BUCKET_RUNS = 1_000
-HOT_RUNS = 3_000
+HOT_RUNS = 6_000
 
 _U = np.uint64
 _BYTES_AT_ONCE = 1 << 21
 _PLACE_BITS = 24
-# Runs settled together in one task, and entries expected in one group.
+# Runs settled together in one task, and entries it remembers and a group is expected to have.
 _HOT_ROWS = 2_000
-_HOT_ENTRIES = 200_000
+_HOT_ENTRIES = 500_000
 
 
 def window_hashes(data: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -134,67 +134,91 @@ def _table(rows: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array(list(c), k) for (n, k), c in zip(kinds.items(), columns)})
 
 
+def _settled(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries with a place whose prefix occurs again, and one entry per prefix for others to meet.
+
+    An entry is two hashes of a prefix, the digest in two halves, and the place or -1.
+    """
+    entries = entries[np.lexsort(entries[:, :2].T)]
+    fresh = np.ones(len(entries), bool)
+    fresh[1:] = (entries[1:, :2] != entries[:-1, :2]).any(1)
+    begins = np.flatnonzero(fresh)
+    counts = np.diff(np.append(begins, len(entries)))
+    placed = entries[:, 4].view(np.int64) >= 0
+    found = entries[np.repeat(counts > 1, counts) & placed]
+    left = entries[begins]
+    left[counts > 1, 4] = np.array(-1, np.int64).view(np.uint64)
+    return found, left
+
+
+def _entry_ranges(found: np.ndarray, length: int) -> list[tuple]:
+    """Covered ranges of entries with places."""
+    order = np.lexsort((found[:, 4].view(np.int64), found[:, 3], found[:, 2]))
+    found = found[order]
+    other = np.flatnonzero((found[1:, 2:4] != found[:-1, 2:4]).any(1)) + 1
+    return [
+        (part[0, 2:4].tobytes(), int(begin), int(end))
+        for part in np.split(found, other)
+        if len(part)
+        for begin, end in covered(part[:, 4].view(np.int64), length)
+    ]
+
+
 def _hot_ranges(runs: DataFrame, length: int, parts: int) -> DataFrame:
     """Covered ranges of runs whose windows are in very many runs."""
 
+    def entries_of(batch: pa.RecordBatch) -> np.ndarray:
+        digests, firsts, owns, pieces = (c.to_pylist() for c in batch.columns)
+        hashed = {
+            piece: np.stack([window_hashes(np.frombuffer(piece, np.uint8), length, s) for s in (2, 3)], 1)
+            for piece in set(pieces)
+        }
+        owns = np.array(owns)
+        row = np.repeat(np.arange(len(owns)), owns)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(owns) - owns, owns)
+        ids = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)[row]
+        at = (np.array(firsts)[row] + place).astype(np.int64).view(np.uint64)
+        hashes = np.concatenate([hashed[p][:n] for p, n in zip(pieces, owns)])
+        return np.concatenate([hashes, ids, at[:, None]], 1)
+
+    def out(ranges: list[tuple], numbers: list[int], blobs: list[bytes]) -> pa.RecordBatch:
+        n, m = len(ranges), len(blobs)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([None] * n + numbers, pa.int64()),
+                pa.array([None] * n + blobs, pa.binary()),
+                pa.array([r[0] for r in ranges] + [None] * m, pa.binary()),
+                pa.array([r[1] for r in ranges] + [None] * m, pa.int64()),
+                pa.array([r[2] for r in ranges] + [None] * m, pa.int64()),
+            ],
+            ["part", "entries", "digest", "begin", "end"],
+        )
+
+    def passed_on(left: np.ndarray) -> pa.RecordBatch:
+        part = (left[:, 0] % _U(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.diff(part[order])) + 1
+        blobs = [e.tobytes() for e in np.split(left[order], cuts)]
+        return out([], part[order][np.concatenate([[0], cuts])].tolist(), blobs)
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        small = (b.slice(at, _HOT_ROWS) for b in batches for at in range(0, b.num_rows, _HOT_ROWS))
-        for batch in small:
-            digests, firsts, owns, pieces = (c.to_pylist() for c in batch.columns[1:])
-            hashes = [
-                np.stack([window_hashes(np.frombuffer(p, np.uint8), length, s)[:n] for s in (2, 3)])
-                for p, n in zip(pieces, owns)
-            ]
-            both = np.concatenate(hashes, 1)
-            row = np.repeat(np.arange(len(owns)), owns)
-            place = np.concatenate([np.arange(n) for n in owns])
-            order = np.lexsort(both)
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (both[:, order[1:]] != both[:, order[:-1]]).any(0)
-            begins = np.flatnonzero(fresh)
-            counts = np.diff(np.append(begins, len(order)))
-            many = np.zeros(len(order), bool)
-            many[order] = np.repeat(counts > 1, counts)
-            # What repeats here is settled here; one entry without a place tells the others.
-            settled = [place[(row == r) & many] for r in range(len(owns))]
-            done = _ranges(digests, firsts, settled, length)
-            one = order[begins]
-            ids = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)[row[one]]
-            at = np.where(counts > 1, -1, np.array(firsts)[row[one]] + place[one]).astype(np.int64)
-            entries = np.stack([both[0, one], both[1, one], ids[:, 0], ids[:, 1], at.view(np.uint64)], 1)
-            part = (entries[:, 0] % _U(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order])) + 1
-            blobs = [e.tobytes() for e in np.split(entries[order], cuts)]
-            numbers = part[order][np.concatenate([[0], cuts])].tolist()
-            n, m = len(done), len(blobs)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([None] * n + numbers, pa.int64()),
-                    pa.array([None] * n + blobs, pa.binary()),
-                    pa.array([d[0] for d in done] + [None] * m, pa.binary()),
-                    pa.array([d[1] for d in done] + [None] * m, pa.int64()),
-                    pa.array([d[2] for d in done] + [None] * m, pa.int64()),
-                ],
-                ["part", "entries", "digest", "begin", "end"],
-            )
+        # What repeats within the task is settled here, before anything is passed on.
+        kept = np.zeros((0, 5), np.uint64)
+        for batch in (b.slice(at, _HOT_ROWS) for b in batches for at in range(0, b.num_rows, _HOT_ROWS)):
+            found, kept = _settled(np.concatenate([kept, entries_of(batch)]))
+            yield out(_entry_ranges(found, length), [], [])
+            if len(kept) > _HOT_ENTRIES:
+                yield passed_on(kept)
+                kept = kept[:0]
+        if len(kept):
+            yield passed_on(kept)
 
     def settle(group: pa.Table) -> pa.Table:
         entries = np.frombuffer(b"".join(group["entries"].to_pylist()), "<u8").reshape(-1, 5)
-        order = np.lexsort(entries[:, :2].T)
-        entries = entries[order]
-        fresh = np.ones(len(entries), bool)
-        fresh[1:] = (entries[1:, :2] != entries[:-1, :2]).any(1)
-        begins = np.flatnonzero(fresh)
-        counts = np.diff(np.append(begins, len(entries)))
-        at = entries[:, 4].view(np.int64)
-        hit = entries[np.repeat(counts > 1, counts) & (at >= 0)]
-        places = hit[:, 4].view(np.int64).tolist()
-        ids = [e.tobytes() for e in np.ascontiguousarray(hit[:, 2:4])]
-        return _table([(d, p, p + length) for d, p in zip(ids, places)])
+        return _table(_entry_ranges(_settled(entries)[0], length))
 
     spread_out = write_scratch(
-        runs.select("bucket", "digest", "first", "own", "piece").mapInArrow(
+        runs.select("digest", "first", "own", "piece").mapInArrow(
             spread, "part bigint, entries binary, digest binary, begin bigint, end bigint"
         )
     )
@@ -279,7 +303,8 @@ def repeated_ranges(
     )
     if not hot:
         return ranges
-    parts = max(1, -(-hot * length // _HOT_ENTRIES))
+    # A run has half as many places as a string has windows.
+    parts = max(1, -(-hot * (length - window + 1) // 2 // _HOT_ENTRIES))
     return ranges.union(_hot_ranges(pieces.where("bucket is null"), length, parts))
 
 
