@@ -281,9 +281,9 @@ def repeated_ranges(
                     ["bucket", "digest", "first", "own", "piece"],
                 )
 
-    listed = broadcast_small(wanted.withColumnRenamed("digest", "wanted"))
+    # Lists of runs grow with the texts, so both sides are shuffled at every size.
     pieces = (
-        long_enough.join(listed, F.col("digest") == F.col("wanted"))
+        long_enough.join(wanted.withColumnRenamed("digest", "wanted"), F.col("digest") == F.col("wanted"))
         .select("digest", "text", "runs")
         .mapInArrow(cut, "bucket bigint, digest binary, first bigint, own bigint, piece binary")
     )
@@ -365,7 +365,7 @@ def remove_repeats(
                     [rows.column(0), *made], ["key", "n_bytes", "n_removed", "n_spans", "removed", "kept"]
                 )
 
-    joined = rows.join(broadcast_small(found), F.col("digest") == F.col("_digest"), "left")
+    joined = rows.join(found, F.col("digest") == F.col("_digest"), "left")
     return (
         joined.select("key", "text", "copies", "ranges")
         .mapInArrow(
