@@ -6,6 +6,7 @@ joined to text and years are labelled, so results compare as plain values.
 """
 
 import datetime
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from ludolens.functions.prices import valid_price
 from ludolens.operators import currency, dedup, details, ids, limits, ordering
 from ludolens.operators import outliers, regression, trends
 from ludolens.plans.clean import clean_games
-from ludolens.plans.daily import DailyPaths, run_daily
+from ludolens.plans.daily import DailyPaths, finish_day, prepare_day, run_daily
 from ludolens.plans.fetch import ingest_details, plan_fetch, update_catalogue
 from ludolens.plans.reports import detect_outliers, predict_prices
 from ludolens.samples import RAW_GAMES_SQL, SAMPLE_RATES, raw_games, table
@@ -37,6 +38,7 @@ from ludolens.sources.state import (
     load_processed,
     record_calls,
     save_cache,
+    save_calls,
     save_processed,
 )
 from ludolens.sources.tables import (
@@ -105,7 +107,7 @@ def _labelled(df: DataFrame) -> DataFrame:
 
 
 def _answers(spark: SparkSession, folder: str) -> DataFrame:
-    """Details answers ``(batch_no, body)``, one per raw game that has an id."""
+    """Details answers of today, one per raw game that has an id; one in eleven ids fails."""
     data = F.struct(
         "name",
         F.when(F.col("release_date") != "Coming Soon", F.struct(F.col("release_date").alias("date")))
@@ -116,13 +118,19 @@ def _answers(spark: SparkSession, folder: str) -> DataFrame:
         "developers",
         "publishers",
     )
-    answer = F.struct((F.col("price") != "Free").alias("success"), data.alias("data"))
+    answer = F.struct((F.col("appid") % 11 != 0).alias("success"), data.alias("data"))
     return raw_games(spark, folder).where(F.col("appid").isNotNull()).select(
         F.floor(F.col("appid") / 800).cast("bigint").alias("batch_no"),
         F.to_json(F.create_map(F.col("appid").cast("string"), answer)).alias("body"),
+        F.lit(TODAY).alias("answered_date"),
     )
 
 
+def _comparable(averages: DataFrame) -> DataFrame:
+    """Averages rounded off the halves, where sums in another sequence could tip them."""
+    return averages.withColumn("avg_price", F.round(F.col("avg_price") + 1e-8, 5))
+
+
 def _call_log(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("ts").cast("date").alias("date"), F.lit(1).cast("bigint").alias("calls")
@@ -182,7 +190,7 @@ end
 """
 
 _RAW_ORDER = ", ".join(
-    f"{c} nulls first"
+    f"{c} nulls last"
     for c in ("name", "release_date", "price", "genres", "developers", "publishers")
 )
 
@@ -191,7 +199,7 @@ def _cleaned_sql(source: str = "raw_games") -> str:
     return f"""
 {_PRICED_SQL.replace("from raw_games", f"from {source}")},
 cleaned as (
-  select cast(appid as integer) as appid, coalesce(name, 'Unknown') as name, release_date, price,
+  select cast(appid as bigint) as appid, coalesce(name, 'Unknown') as name, release_date, price,
     list_transform(coalesce(genres, ['Unknown']), lambda g: trim(g)) as genres,
     list_transform(coalesce(developers, ['Unknown']), lambda g: trim(g)) as developers,
     list_transform(coalesce(publishers, ['Unknown']), lambda g: trim(g)) as publishers,
@@ -299,8 +307,7 @@ def release_years(spark: SparkSession, folder: str) -> DataFrame:
 
 @_check("""
 select substr(strftime(o_orderdate, '%Y-%m-%d'), 1, 4) as year, o_orderpriority,
-  cast(sum(cast(round(o_totalprice * 100) as bigint)) as double) / count(o_totalprice) / 100
-    as avg_price
+  round(avg(o_totalprice) + 1e-8, 5) as avg_price
 from orders group by 1, 2
 """)
 def year_prefix_avg(spark: SparkSession, folder: str) -> DataFrame:
@@ -310,8 +317,8 @@ def year_prefix_avg(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderpriority",
         "o_totalprice",
     )
-    return trends.avg_price_trends(
-        dated, year="year", group="o_orderpriority", price="o_totalprice"
+    return _comparable(
+        trends.avg_price_trends(dated, year="year", group="o_orderpriority", price="o_totalprice")
     )
 
 
@@ -560,16 +567,57 @@ with batched as (
     order by batch_no rows between unbounded preceding and 1 preceding), 0) as before from sized
 )
 select event_id, batch_no from batched
-where batch_no in (select batch_no from summed where before < 300000)
+where batch_no in (
+  select batch_no from summed where before < (select sum(size) // 2 from sized) or before = 0)
 """)
 def cap_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
-    """Event batches up to a size of 300,000 bytes."""
+    """Event batches up to half the size of all events."""
     events = table(spark, folder, "events").select("event_id", "ts", "event_type", "props")
     batched = ordering.assign_batches(events, ["ts", "event_id"], fixed.BATCH_SIZE)
-    capped = limits.cap_by_bytes(
-        batched, "batch_no", 300_000, counted=["event_id", "event_type", "props"]
+    return _capped_at_half(batched).select("event_id", "batch_no")
+
+
+def _capped_at_half(batched: DataFrame) -> DataFrame:
+    counted = ["event_id", "event_type", "props"]
+    half = limits.json_size(batched.select(*counted)).first()["bytes"] // 2
+    return limits.cap_by_bytes(batched, "batch_no", half, counted)
+
+
+@_check(f"""
+with batched as (
+  select *, case when event_type <> 'click' then user_id % 97 end as batch_no from events
+), sized as (
+  select batch_no, sum({_EVENT_BYTES}) as size from batched group by 1
+), summed as (
+  select batch_no, coalesce(sum(size) over (order by batch_no nulls first
+    rows between unbounded preceding and 1 preceding), 0) as before from sized
+)
+select event_id, batch_no from batched join summed using (batch_no)
+where before < (select sum(size) // 2 from sized) or before = 0
+union all
+select event_id, batch_no from batched where batch_no is null
+""")
+def cap_null_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where events without a batch come first."""
+    batched = table(spark, folder, "events").withColumn(
+        "batch_no", F.when(F.col("event_type") != "click", F.col("user_id") % 97)
+    )
+    return _capped_at_half(batched).select("event_id", "batch_no")
+
+
+@_check("""
+select least(count(*), 1000) as few, least(count(*), 1001) as many, 0 as only_in_few from events
+""")
+def first_rows_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """First rows by an order of many ties: one row more only adds a row."""
+    events = table(spark, folder, "events")
+    few, many = (ordering.first_rows(events, ["event_type"], n).select("event_id") for n in (1000, 1001))
+    told = few.withColumn("_few", F.lit(True)).join(many.withColumn("_many", F.lit(True)), "event_id", "full")
+    return told.agg(
+        F.count("_few").alias("few"),
+        F.count("_many").alias("many"),
+        F.count_if(F.col("_many").isNull()).alias("only_in_few"),
     )
-    return capped.select("event_id", "batch_no")
 
 
 @_check(f"""
@@ -606,7 +654,64 @@ def catalogue_from_envelope(spark: SparkSession, folder: str) -> DataFrame:
         f"to_json(named_struct('applist', named_struct('apps',"
         f" array({app.format('p_name')}, {app.format('p_type')})))) as body"
     )
-    return unwrap_apps(texts.select(F.from_json("body", schemas.APP_LIST).alias("d")).select("d.*"))
+    parsed = texts.select(F.from_json("body", schemas.APP_LIST).alias("d")).select("d.*")
+    return unwrap_apps(parsed).select("appid", "name")
+
+
+def _catalogue_files(spark: SparkSession, folder: str, wrap: str) -> str:
+    """Parts as documents of at most 500 apps, each in a file of its own; returns their folder."""
+    app = F.struct(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
+    grouped = (
+        table(spark, folder, "part")
+        .groupBy(F.floor(F.col("p_partkey") / 500).alias("document"))
+        .agg(F.array_sort(F.collect_list(app)).alias("apps"))
+    )
+    path = scratch_path(spark)
+    texts = grouped.select(F.expr(f"to_json({wrap})").alias("value"), "document")
+    texts.repartition("document").write.partitionBy("document").text(path)
+    return path
+
+
+@_check("select p_partkey as appid, p_name as name from part")
+def read_catalogue_envelope(spark: SparkSession, folder: str) -> DataFrame:
+    """Apps read from files of one nested document each."""
+    path = _catalogue_files(spark, folder, "named_struct('applist', named_struct('apps', apps))")
+    return read_catalogue(spark, path, layout="envelope").select("appid", "name")
+
+
+@_check("select p_partkey as appid, p_name as name from part")
+def read_catalogue_array(spark: SparkSession, folder: str) -> DataFrame:
+    """Apps read from files of one array each."""
+    path = _catalogue_files(spark, folder, "apps")
+    return read_catalogue(spark, path, layout="array").select("appid", "name")
+
+
+@_check("""
+with listed as (
+  select p_size as appid, p_name as name, p_partkey // 500 as document, p_partkey as spot from part
+), latest as (
+  select appid, name from (
+    select *, row_number() over (partition by appid order by cast(document as varchar) desc, spot desc)
+      as place from listed
+  ) where place = 1
+)
+select coalesce(l.appid, c_custkey) as appid, case when l.appid is null then c_name else l.name end as name
+from customer full join latest l on c_custkey = l.appid
+""")
+def catalogue_last_wins(spark: SparkSession, folder: str) -> DataFrame:
+    """A new catalogue whose files list ids again and again, over an old one."""
+    path = scratch_path(spark)
+    app = F.struct("p_partkey", F.struct(F.col("p_size").alias("appid"), F.col("p_name").alias("name")).alias("app"))
+    (
+        table(spark, folder, "part")
+        .groupBy(F.floor(F.col("p_partkey") / 500).cast("string").alias("document"))
+        .agg(F.array_sort(F.collect_list(app)).alias("listed"))
+        .select(F.to_json(F.struct(F.struct(F.col("listed.app").alias("apps")).alias("applist"))).alias("value"), "document")
+        .repartition("document")
+        .write.partitionBy("document")
+        .text(path)
+    )
+    return update_catalogue(_apps(spark, folder, "customer"), read_catalogue(spark, path))
 
 
 _FLAT_SQL = f"""
@@ -615,7 +720,7 @@ with {RAW_GAMES_SQL}, flat as (
     case when release_date <> 'Coming Soon' then release_date end as release_date, price,
     coalesce(genres, []) as genres, coalesce(developers, []) as developers,
     coalesce(publishers, []) as publishers
-  from raw_games where appid is not null and price <> 'Free'
+  from raw_games where appid is not null and appid % 11 <> 0
 )
 """
 _FLAT_COLUMNS = """
@@ -632,7 +737,11 @@ def flatten_details(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- trends and rankings ------------------------------------------------------
 
-_AVG = "cast(sum(cast(round(price_usd * 100) as bigint)) as double) / count(price_usd) / 100"
+_AVG = "round(avg(price_usd) + 1e-8, 5)"
+
+
+def _items_sql(column: str) -> str:
+    return f"unnest(case when len({column}) > 0 then {column} else ['Unknown'] end)"
 
 
 @_check(f"""
@@ -642,21 +751,21 @@ from cleaned group by release_year, cleaned.genres
 """)
 def avg_price_by_genre_set(spark: SparkSession, folder: str) -> DataFrame:
     """Average price by year and list of genres."""
-    return _labelled(trends.avg_price_trends(_cleaned(spark, folder)))
+    return _labelled(_comparable(trends.avg_price_trends(_cleaned(spark, folder))))
 
 
 @_check(f"""
-{_CLEANED_SQL}, single as (select release_year, unnest(genres) as genre, price_usd from cleaned)
+{_CLEANED_SQL}, single as (select release_year, {_items_sql("genres")} as genre, price_usd from cleaned)
 select {_LABEL} as release_year, genre as genres, {_AVG} as avg_price
 from single group by release_year, genre
 """)
 def avg_price_by_genre(spark: SparkSession, folder: str) -> DataFrame:
     """Average price by year and single genre."""
-    return _labelled(trends.avg_price_trends(_cleaned(spark, folder), explode=True))
+    return _labelled(_comparable(trends.avg_price_trends(_cleaned(spark, folder), explode=True)))
 
 
 def _ranked_sql(column: str, count: str, within: str, per_item: bool, keep: str = "") -> str:
-    source = f"select release_year, unnest({column}) as item" if per_item else (
+    source = f"select release_year, {_items_sql(column)} as item" if per_item else (
         f"select release_year, {column} as item"
     )
     item = "item" if per_item else "array_to_string(item, '|')"
@@ -908,7 +1017,7 @@ def roundtrip_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """A catalogue written as JSON lines and read back."""
     path = scratch_path(spark)
     write_json(_apps(spark, folder, "part"), path)
-    return read_catalogue(spark, path, layout="lines")
+    return read_catalogue(spark, path, layout="lines").select("appid", "name")
 
 
 @_check(_ORDER_SQL, name="read_or_empty")
@@ -941,15 +1050,18 @@ def cache_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_check("""
-select cast(count(*) as bigint) + 7 as used, greatest(1000 - count(*) - 7, 0) as remaining
-from events where cast(ts as date) = date '2024-01-30'
+select cast(ts as date) as day, case when cast(ts as date) = date '2024-01-30' then 7
+  else cast(count(*) as bigint) end as calls
+from events group by 1
 """)
 def calls_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """A stored call log, seven more calls recorded, and what is left."""
+    """A stored call log in which one day's count was set again, twice."""
     path = scratch_path(spark)
-    write_table(_call_log(spark, folder), path)
+    save_calls(_call_log(spark, folder), path)
+    record_calls(spark, path, TODAY, 6)
     record_calls(spark, path, TODAY, 7)
-    return limits.remaining_quota(load_calls(spark, path), TODAY, limit=1000)
+    calls = load_calls(spark, path)
+    return calls.groupBy(F.col("date").alias("day")).agg(F.sum("calls").alias("calls"))
 
 
 # --- whole jobs ---------------------------------------------------------------------
@@ -992,8 +1104,6 @@ def planned_fetch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_STORE_LIMIT = 3_000_000
-
 _LATEST_ORDER = ", ".join(
     f"{c} desc nulls last"
     for c in ("name", "release_date", "price", "genres", "developers", "publishers")
@@ -1015,7 +1125,8 @@ _GAME_BYTES = """
   select batch_no, coalesce(sum(size) over (
     order by batch_no rows between unbounded preceding and 1 preceding), 0) as before from sized
 ), stacked as (
-  select flat.* from flat join summed using (batch_no) where before < {_STORE_LIMIT}
+  select flat.* from flat join summed using (batch_no)
+  where before < (select sum(size) // 2 from sized) or before = 0
   union all
   select -1, o_orderkey * 8 + 1, o_orderpriority, strftime(o_orderdate, '%Y'), o_orderstatus,
     [o_orderpriority], [], [] from orders
@@ -1026,7 +1137,30 @@ select {_FLAT_COLUMNS} from (
 ) where place = 1
 """, name="ingest_details")
 def ingested_details(spark: SparkSession, folder: str) -> DataFrame:
-    """Answers flattened, capped by size, and merged over a store."""
+    """Answers flattened, capped at half their size, and put into a store."""
+    answers = _answers(spark, folder)
+    half = limits.json_size(details.flatten_details(answers)).first()["bytes"] // 2
+    return _labelled(_ingested(spark, folder, half))
+
+
+@_check(f"""
+{_FLAT_SQL}, stacked as (
+  select flat.* from flat
+  union all
+  select -1, o_orderkey * 8 + 1, o_orderpriority, strftime(o_orderdate, '%Y'), o_orderstatus,
+    [o_orderpriority], [], [] from orders
+)
+select {_FLAT_COLUMNS} from (
+  select *, row_number() over (partition by appid order by batch_no desc, {_LATEST_ORDER}) as place
+  from stacked
+) where place = 1
+""")
+def ingest_uncapped(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every answer."""
+    return _labelled(_ingested(spark, folder))
+
+
+def _ingested(spark: SparkSession, folder: str, max_bytes: int | None = None) -> DataFrame:
     none = F.array().cast("array<string>")
     store = table(spark, folder, "orders").select(
         (F.col("o_orderkey") * 8 + 1).alias("appid"),
@@ -1037,10 +1171,8 @@ def ingested_details(spark: SparkSession, folder: str) -> DataFrame:
         none.alias("developers"),
         none.alias("publishers"),
     )
-    taken = ingest_details(
-        _answers(spark, folder), store, store.select("appid"), max_bytes=_STORE_LIMIT
-    )
-    return _labelled(taken.store)
+    done = store.select("appid")
+    return ingest_details(_answers(spark, folder), store, done, max_bytes=max_bytes).store
 
 
 @_check(f"""
@@ -1054,8 +1186,80 @@ select {_CLEANED_COLUMNS} from cleaned
 """, name="run_daily")
 def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     """A whole day from downloaded files; the cleaned table it leaves."""
+    paths = _downloaded(spark, folder)
+    run_daily(spark, paths, _rates(spark), TODAY, **_WHOLE_DAY)
+    return _labelled(read_table(spark, paths.cleaned, schemas.CLEANED_GAMES))
+
+
+_WHOLE_DAY = {"layout": "lines", "limit": 1 << 40}
+
+
+def _downloaded(spark: SparkSession, folder: str) -> DailyPaths:
+    """Paths with a catalogue of all raw games that have an id, and today's answers for them."""
     paths = DailyPaths.under(scratch_path(spark))
-    write_json(_apps(spark, folder, "part"), paths.downloaded_list)
+    listed = raw_games(spark, folder).where(F.col("appid").isNotNull()).select("appid", "name")
+    write_json(listed, paths.downloaded_list)
     write_table(_answers(spark, folder), paths.responses)
-    run_daily(spark, paths, _rates(spark), TODAY, max_bytes=1 << 40, layout="lines")
-    return _labelled(read_table(spark, paths.cleaned, schemas.CLEANED_GAMES))
+    return paths
+
+
+def _state(spark: SparkSession, paths: DailyPaths) -> DataFrame:
+    """Sizes of the tables that a run leaves for the next."""
+    counted = {
+        "calls": load_calls(spark, paths.calls).agg(F.sum("calls").alias("n")),
+        "cache": load_cache(spark, paths.cache).agg(F.count("*").alias("n")),
+        "cached_ids": load_cache(spark, paths.cache).agg(F.count_distinct("appid").alias("n")),
+        "processed": load_processed(spark, paths.processed).agg(F.count("*").alias("n")),
+        "store": read_or_empty(spark, paths.store, schemas.RAW_GAMES).agg(F.count("*").alias("n")),
+        "to_fetch": read_or_empty(spark, paths.to_fetch, schemas.TO_FETCH).agg(F.count("*").alias("n")),
+    }
+    rows = [df.select(F.lit(name).alias("state"), "n") for name, df in counted.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+_STATE_SQL = f"""
+with {RAW_GAMES_SQL}, asked as (
+  select appid from raw_games where appid is not null
+), good as (
+  select appid from asked where appid % 11 <> 0
+), few as (
+  select distinct appid from asked order by appid limit 500
+)
+"""
+
+
+@_check(f"""
+{_STATE_SQL}
+select 'calls' as state, count(*) as n from good
+union all select 'cache', count(*) from good
+union all select 'cached_ids', count(distinct appid) from good
+union all select 'processed', 0
+union all select 'store', count(distinct appid) from good
+union all select 'to_fetch', count(distinct appid) from asked
+""")
+def run_daily_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """What two runs on one day leave: the same as one. All ids are done, so that set starts anew."""
+    paths = _downloaded(spark, folder)
+    finish = [spark, paths, _rates(spark), TODAY]
+    run_daily(*finish, **_WHOLE_DAY)
+    prepare_day(spark, paths, TODAY, **_WHOLE_DAY)
+    finish_day(*finish)
+    return _state(spark, paths)
+
+
+@_check(f"""
+{_STATE_SQL}
+select 'calls' as state, count(*) as n from good join few using (appid)
+union all select 'cache', 0
+union all select 'cached_ids', 0
+union all select 'processed', count(*) from few
+union all select 'store', count(distinct appid) from good join few using (appid)
+union all select 'to_fetch', least(500, (select count(distinct appid) - 500 from asked))
+""")
+def run_daily_two_days(spark: SparkSession, folder: str) -> DataFrame:
+    """A day with a quota of 500 calls, and a next day without new answers, which counts none."""
+    paths = _downloaded(spark, folder)
+    limited = {**_WHOLE_DAY, "limit": 500}
+    run_daily(spark, paths, _rates(spark), TODAY, **limited)
+    run_daily(spark, paths, _rates(spark), TODAY + datetime.timedelta(days=1), **limited)
+    return _state(spark, paths)

@@ -45,7 +45,6 @@ FENCE_WIDTH = 1.5
 # Ingest limits.
 DAILY_CALL_LIMIT = 100_000
 BATCH_SIZE = 100
-STORE_BYTES_LIMIT = 1_000
 
 # Share of rows a model learns from.
 TRAIN_SHARE = 0.8

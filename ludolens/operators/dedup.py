@@ -11,7 +11,7 @@ from ludolens.scratch import broadcast_small, write_scratch
 
 
 def _ordered_row(df: DataFrame, key: str, order: list[str] | None) -> Column:
-    """All columns but the key, those of ``order`` first.
+    """All columns but the key, those of ``order`` first; NULLs come first.
 
     The remaining columns break ties, so the picked row is the same in every
     run, and one struct serves as both order and payload.
@@ -21,9 +21,16 @@ def _ordered_row(df: DataFrame, key: str, order: list[str] | None) -> Column:
 
 
 def dedup(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
-    """Keep the first row of each key by ``order``, then by all columns."""
-    first = F.min(_ordered_row(df, key, order)).alias("_row")
-    return df.groupBy(key).agg(first).select(key, "_row.*").select(*df.columns)
+    """Keep the first row of each key by ``order``, then by all columns.
+
+    NULLs come last, so a fuller copy wins over an emptier one.
+    """
+    lead = [c for c in order or [] if c != key]
+    rest = [c for c in df.columns if c != key and c not in lead]
+    flagged = [x for c in [*lead, *rest] for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    first = F.min(F.struct(*flagged)).alias("_row")
+    kept = [key if c == key else F.col(f"_row.{c}") for c in df.columns]
+    return df.groupBy(key).agg(first).select(*kept)
 
 
 def keep_last(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:

@@ -21,17 +21,21 @@ FIRST_ROWS = 1_000
 _POSITION_BITS = 33
 
 
+def row_hash(df: DataFrame) -> Column:
+    """What ends every order, so that ties break alike on every path."""
+    return F.xxhash64(*df.columns)
+
+
 def _sorted_table(df: DataFrame, order: list[str | Column]) -> DataFrame:
     """``df`` sorted and written, with ``_at`` giving part and position.
 
     A hash of the whole row ends the order, so that rows equal in ``order``
-    still spread over parts and repeat in the same sequence.
+    repeat in the same sequence, and a number per row after it, so that rows
+    equal in all columns still spread over parts.
     """
-    return write_scratch(
-        df.sort(*order, F.xxhash64(*df.columns)).withColumn(
-            "_at", F.monotonically_increasing_id()
-        )
-    )
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    placed = numbered.sort(*order, row_hash(df), "_row").drop("_row")
+    return write_scratch(placed.withColumn("_at", F.monotonically_increasing_id()))
 
 
 def _part() -> Column:
@@ -61,8 +65,8 @@ def number_rows(
 ) -> DataFrame:
     """Number rows 1..n by ``order``, over all rows or within groups.
 
-    Rows should differ from one another. Groups may be of any size: a group is
-    spread over as many parts as its rows need.
+    Groups may be of any size: a group is spread over as many parts as its
+    rows need. Ties end in a hash of the row.
     """
     within = within or []
     table = _sorted_table(df, [*within, *order])
@@ -106,9 +110,9 @@ def assign_batches(
 
 
 def first_rows(df: DataFrame, order: list[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows by ``order``."""
+    """The first ``n`` rows by ``order``, ties by a hash of the row."""
     if n <= FIRST_ROWS:
-        return df.orderBy(*order).limit(n)
+        return df.orderBy(*order, row_hash(df)).limit(n)
     return number_rows(df, order, "_index").where(F.col("_index") <= n).drop("_index")
 
 
@@ -126,10 +130,10 @@ def top_k(
     """
     if k > FIRST_ROWS:
         return number_rows(df, order, name, within).where(F.col(name) <= k)
-    place = F.row_number()
+    place, full = F.row_number(), [*order, row_hash(df)]
     if within:
-        ranked = df.withColumn(name, place.over(W.partitionBy(*within).orderBy(*order)))
+        ranked = df.withColumn(name, place.over(W.partitionBy(*within).orderBy(*full)))
         kept = ranked.where(F.col(name) <= k)
     else:
-        kept = first_rows(df, order, k).withColumn(name, place.over(W.orderBy(*order)))
+        kept = first_rows(df, order, k).withColumn(name, place.over(W.orderBy(*full)))
     return kept.withColumn(name, F.col(name).cast("bigint"))

@@ -38,7 +38,7 @@ def clean_games(
     games = keyed if unique else dedup(keyed, "appid", order)
     priced = to_usd(with_currency(parse_price(games), passthrough), rates)
     return fill_unknown(priced, ["name"]).select(
-        F.col("appid").try_cast("int").alias("appid"),
+        "appid",
         "name",
         "release_date",
         "price",

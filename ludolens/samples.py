@@ -88,7 +88,9 @@ def raw_games(spark: SparkSession, folder: str) -> DataFrame:
     lines = spread(lines, "l_orderkey", "l_linenumber")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey)
     return joined.selectExpr("*", f"{_AMOUNT} as amount").selectExpr(
-        "case when l_quantity < 50 then l_orderkey * 8 + l_linenumber end as appid",
+        # Some ids need more than 32 bits.
+        "case when l_quantity < 50 then l_orderkey * 8 + l_linenumber"
+        " + if(l_linenumber = 7, 3000000000, 0) end as appid",
         "case when p_size > 1 then p_name end as name",
         f"{_RELEASE_DATE} as release_date",
         f"{_PRICE} as price",
@@ -110,7 +112,8 @@ raw_lines as (
 ),
 raw_games as (
   select
-    case when l_quantity < 50 then l_orderkey * 8 + l_linenumber end as appid,
+    case when l_quantity < 50 then l_orderkey * 8 + l_linenumber
+      + if(l_linenumber = 7, 3000000000, 0) end as appid,
     case when p_size > 1 then p_name end as name,
     case l_linenumber
       when 1 then strftime(l_shipdate, '%-m/%-d/%Y')

@@ -29,6 +29,23 @@ RESPONSES = T.StructType(
     [
         T.StructField("batch_no", T.LongType()),
         T.StructField("body", T.StringType()),
+        T.StructField("answered_date", T.DateType()),
+    ]
+)
+
+# The ids to fetch on a day, and the cached details that are served instead.
+TO_FETCH = T.StructType(
+    [
+        T.StructField("appid", T.LongType()),
+        T.StructField("batch_no", T.LongType()),
+        T.StructField("planned_date", T.DateType()),
+    ]
+)
+SERVED = T.StructType(
+    [
+        T.StructField("appid", T.LongType()),
+        T.StructField("batch_no", T.LongType()),
+        T.StructField("details", T.StringType()),
     ]
 )
 
@@ -46,7 +63,7 @@ RAW_GAMES = T.StructType(
 
 CLEANED_GAMES = T.StructType(
     [
-        T.StructField("appid", T.IntegerType()),
+        T.StructField("appid", T.LongType()),
         T.StructField("name", T.StringType()),
         T.StructField("release_date", T.StringType()),
         T.StructField("price", T.StringType()),

@@ -9,6 +9,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ BROADCAST_BYTES = 64 << 20
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 _own_folder = None
+_scopes: list[str] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -36,10 +39,35 @@ def scratch_folder(spark: SparkSession) -> str:
     return _own_folder
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on any file system Spark knows; none is fine too."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediates written inside when the work inside is done.
+
+    Nothing that reads them may be used afterwards. Scopes may be nested.
+    """
+    _scopes.append(uuid.uuid4().hex)
+    folder = _application_folder(spark)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        delete_path(spark, folder)
+
+
+def _application_folder(spark: SparkSession) -> str:
+    app = spark.sparkContext.applicationId
+    return "/".join([scratch_folder(spark).rstrip("/"), "ludolens", app, *_scopes])
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path, not used before, for one intermediate table."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_folder(spark).rstrip('/')}/ludolens/{app}/{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def write_scratch(df: DataFrame) -> DataFrame:

@@ -129,6 +129,31 @@ def test_top_k_both_ways(spark, rows, monkeypatch):
     assert len(few) == 5 and len(few_within) == 20
 
 
+def test_ties_break_alike_on_both_paths(spark, monkeypatch):
+    data = spark.range(3000).select("id", F.lit(1).alias("same")).repartition(7)
+    few = {r["id"] for r in ordering.first_rows(data, ["same"], 1000).collect()}
+    many = {r["id"] for r in ordering.first_rows(data.repartition(3), ["same"], 1001).collect()}
+    assert len(few) == 1000 and len(many) == 1001 and few < many
+
+
+def test_equal_rows_spread_over_parts(spark):
+    data = spark.range(4000).select(F.lit(1).alias("v"))
+    numbered = ordering.number_rows(data, ["v"])
+    assert numbered.select("row_index").distinct().count() == 4000
+
+
+def test_dedup_prefers_the_fuller_copy(spark):
+    data = [(1, None, "$5"), (1, "Real", "$5"), (1, "Real", None), (2, None, None)]
+    kept = dedup.dedup(spark.createDataFrame(data, "id int, name string, price string"), "id")
+    assert {tuple(r) for r in kept.collect()} == {(1, "Real", "$5"), (2, None, None)}
+
+
+def test_rows_without_a_batch_are_kept(spark):
+    df = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "batch_no bigint, v string")
+    assert limits.cap_by_bytes(df, "batch_no", 10**9, ["v"]).count() == 3
+    assert [r["v"] for r in limits.cap_by_bytes(df, "batch_no", 1, ["v"]).collect()] == ["a"]
+
+
 # --- quartiles
 
 
@@ -184,12 +209,26 @@ def test_average_prices(games, rows):
         (2020, "a", 1.5),
         (2020, "b", 1.5),
         (2021, "a", 5.5),
+        # The game without genres is not lost.
+        (None, "Unknown", None),
+    ]
+
+
+def test_absurd_prices_are_left_out(spark, rows):
+    prices = [(2020, ["a"], 1e20), (2020, ["a"], 3.0), (2021, ["a"], 1e30), (2021, ["a"], 4.125), (2022, ["a"], 1e30)]
+    df = spark.createDataFrame(prices, "release_year int, genres array<string>, price_usd double")
+    assert rows(trends.avg_price_trends(df, explode=True)) == [
+        (2020, "a", (1e20 + 3) / 2),
+        (2021, "a", 4.125),
+        (2022, "a", None),
     ]
 
 
 def test_ranks(games, rows):
     genres = trends.rank_genres(games, explode=True)
-    assert rows(genres) == [(2020, "a", 2, 1), (2020, "b", 2, 2), (2021, "a", 1, 1)]
+    assert rows(genres) == [
+        (2020, "a", 2, 1), (2020, "b", 2, 2), (2021, "a", 1, 1), (None, "Unknown", 1, 1),
+    ]
     developers = trends.rank_developers(games, explode=True)
     assert rows(developers, "rank", "release_year", "developers", "num_games_published") == [
         (1, 2020, "d1", 2),

@@ -7,7 +7,17 @@ from pyspark.sql import functions as F
 
 from ludolens import checks, schemas, scratch
 from ludolens.operators import ids, ordering, trends
-from ludolens.plans import DailyPaths, clean_games, ingest_details, plan_fetch, run_daily
+from ludolens.plans import (
+    DailyPaths,
+    clean_games,
+    finish_day,
+    ingest_details,
+    plan_fetch,
+    predict_prices,
+    prepare_day,
+    run_daily,
+    update_catalogue,
+)
 from ludolens.plans.daily import take_in
 from ludolens.sources import (
     load_cache,
@@ -57,7 +67,8 @@ def test_clean_games(raw, rates):
     got = {r["appid"]: r.asDict() for r in clean_games(raw, rates, seen=seen).collect()}
     assert seen.get == {"rows": 6, "null_keys": 2}
     assert set(got) == {1, 2, 3}
-    assert got[1]["name"] == "Unknown" and got[1]["price_category"] == "Free"
+    # The copy with a name wins over the one without.
+    assert got[1]["name"] == "later" and got[1]["price_category"] == "Paid"
     assert got[1]["genres"] == ["Unknown"] and got[1]["developers"] == ["d"]
     assert got[2]["genres"] == ["x", "y"] and got[2]["developers"] == []
     assert got[2]["publishers"] == ["Unknown"]
@@ -100,7 +111,7 @@ def test_broadcast_is_measured(spark):
 
 def test_trend_aggregates_before_the_shuffle(spark):
     df = read_or_empty(spark, "/nowhere/at/all", schemas.CLEANED_GAMES)
-    assert "partial_sum" in plan_text(trends.avg_price_trends(df, explode=True))
+    assert "partial_try_sum" in plan_text(trends.avg_price_trends(df, explode=True))
 
 
 def test_scan_is_pruned_and_filtered(spark, tmp_path):
@@ -166,11 +177,23 @@ def test_catalogue_layouts(spark, tmp_path, rows):
     (tmp_path / "array.json").write_text(json.dumps(apps, indent=4))
     (tmp_path / "lines.json").write_text("\n".join(json.dumps(a) for a in apps))
     for layout in ("envelope", "array", "lines"):
-        assert rows(read_catalogue(spark, str(tmp_path / f"{layout}.json"), layout)) == [(1, "a"), (2, "b")]
+        apps = read_catalogue(spark, str(tmp_path / f"{layout}.json"), layout)
+        assert rows(apps, "appid", "name") == [(1, "a"), (2, "b")]
+        assert [r["appid"] for r in apps.orderBy("position").collect()] == [1, 2]
     with pytest.raises(ValueError):
         read_catalogue(spark, str(tmp_path), "other")
 
 
+@pytest.mark.parametrize("layout", ["envelope", "array", "lines"])
+def test_last_in_the_list_wins(spark, tmp_path, rows, layout):
+    apps = [{"appid": 1, "name": "Zulu old"}, {"appid": 2, "name": "b"}, {"appid": 1, "name": "Alpha new"}]
+    body = {"envelope": json.dumps({"applist": {"apps": apps}}), "array": json.dumps(apps)}
+    (tmp_path / "list.json").write_text(body.get(layout, "\n".join(map(json.dumps, apps))))
+    old = spark.createDataFrame([(1, "known"), (3, "c")], schemas.APP)
+    new = read_catalogue(spark, str(tmp_path / "list.json"), layout)
+    assert rows(update_catalogue(old, new)) == [(1, "Alpha new"), (2, "b"), (3, "c")]
+
+
 def test_empty_json_is_refused(spark, tmp_path):
     path = str(tmp_path / "apps")
     apps = spark.createDataFrame([(1, "a")], schemas.APP)
@@ -229,7 +252,12 @@ def _body(appid, **data):
 
 def test_ingest_keeps_the_latest_and_stops_at_the_cap(spark):
     responses = spark.createDataFrame(
-        [(0, _body(1, name="a" * 300)), (1, _body(1, name="b")), (1, _body(2, name="c" * 900)), (2, _body(3, name="d"))],
+        [
+            (0, _body(1, name="a" * 300), DAY),
+            (1, _body(1, name="b"), DAY),
+            (1, _body(2, name="c" * 900), DAY),
+            (2, _body(3, name="d"), DAY),
+        ],
         schemas.RESPONSES,
     )
     store = spark.createDataFrame([(1, "old", None, None, [], [], []), (9, "kept", None, None, [], [], [])], schemas.RAW_GAMES)
@@ -238,23 +266,56 @@ def test_ingest_keeps_the_latest_and_stops_at_the_cap(spark):
     assert {r["appid"]: r["name"][:4] for r in taken.store.collect()} == {1: "b", 2: "cccc", 9: "kept"}
     assert {r["appid"] for r in taken.processed.collect()} == {1, 2, 9}
     assert taken.rows.count() == 3
+    everything = ingest_details(responses, store, done)
+    assert {r["appid"] for r in everything.store.collect()} == {1, 2, 3, 9}
 
 
-def test_run_daily_twice(spark, tmp_path, rates):
-    paths = DailyPaths.under(str(tmp_path))
-    listed = {"applist": {"apps": [{"appid": i, "name": f"g{i}"} for i in range(1, 41)]}}
+NEXT_DAY = DAY + datetime.timedelta(days=1)
+
+
+def _list_apps(tmp_path, count):
+    listed = {"applist": {"apps": [{"appid": i, "name": f"g{i}"} for i in range(1, count + 1)]}}
     (tmp_path / "downloaded_list").write_text(json.dumps(listed))
-    answers = [
-        (0, _body(i, name=f"g{i}", price_overview={"final_formatted": f"${i}.50"},
-                  release_date={"date": f"{2000 + i % 5}"}, genres=[{"description": "x"}], developers=["d"]))
-        for i in range(1, 31)
-    ]
-    write_table(spark.createDataFrame(answers, schemas.RESPONSES), paths.responses)
-    summary = run_daily(spark, paths, rates, DAY, max_bytes=10**6)
+
+
+def _answer(spark, paths, answers, mode="overwrite"):
+    write_table(spark.createDataFrame(answers, schemas.RESPONSES), paths.responses, mode=mode)
+
+
+def _left(spark, paths):
+    """What the next run starts from."""
+    return {
+        "calls": sorted((r["date"], r["calls"]) for r in load_calls(spark, paths.calls).collect()),
+        "cache": sorted(r["appid"] for r in load_cache(spark, paths.cache).collect()),
+        "processed": sorted(r["appid"] for r in load_processed(spark, paths.processed).collect()),
+        "store": sorted(r["appid"] for r in read_table(spark, paths.store).collect()),
+        "to_fetch": sorted(r["appid"] for r in read_table(spark, paths.to_fetch).collect()),
+    }
+
+
+def _good(i, day=DAY):
+    data = dict(
+        name=f"g{i}", price_overview={"final_formatted": f"${i}.50"}, genres=[{"description": "x"}],
+        release_date={"date": f"{2000 + i % 5}"}, developers=["d"],
+    )
+    return (0, _body(i, **data), day)
+
+
+def test_run_daily(spark, tmp_path, rates):
+    paths = DailyPaths.under(str(tmp_path))
+    _list_apps(tmp_path, 40)
+    failed = (0, json.dumps({"31": {"success": False}}), DAY)
+    answers = [*map(_good, range(1, 31)), failed, (0, "broken", DAY), _good(99), _good(32, NEXT_DAY)]
+    seen = []
+
+    def download():
+        seen.append(read_table(spark, paths.to_fetch).count())
+        _answer(spark, paths, answers)
+
+    summary = run_daily(spark, paths, rates, DAY, download=download)
+    assert seen == [40]
     assert (summary.rows, summary.null_keys) == (30, 0)
-    assert read_table(spark, paths.to_fetch).count() == 40
-    assert load_processed(spark, paths.processed).count() == 30
-    assert load_calls(spark, paths.calls).first()["calls"] == 30
+    assert (summary.answers, summary.unreadable, summary.unasked, summary.failed) == (33, 1, 1, 1)
     cleaned = read_table(spark, paths.cleaned, schemas.CLEANED_GAMES)
     assert cleaned.count() == 30 and cleaned.select("release_year").distinct().count() == 5
     assert read_table(spark, paths.trends).count() == 5
@@ -262,25 +323,64 @@ def test_run_daily_twice(spark, tmp_path, rates):
     assert read_table(spark, paths.genre_ranks).count() == 5
     assert read_table(spark, paths.developer_ranks).count() == 5
     assert read_table(spark, paths.predictions).count() > 0
-
-    rest = [(0, _body(i, name="new", price_overview={"final_formatted": "€1,00"})) for i in range(30, 41)]
-    write_table(spark.createDataFrame(rest, schemas.RESPONSES), paths.responses)
-    run_daily(spark, paths, rates, DAY, max_bytes=10**6)
-    # Today's answers are cached, so only the ten missing ids are asked for.
-    assert read_table(spark, paths.to_fetch).count() == 10
-    cleaned = read_table(spark, paths.cleaned, schemas.CLEANED_GAMES)
-    assert cleaned.count() == 40
-    assert cleaned.where("name = 'new' and price_usd = 1.1").count() == 11
-    # Every listed id is done, so the set starts anew.
+    left = _left(spark, paths)
+    assert left["calls"] == [(DAY, 30)] and left["cache"] == left["store"] == list(range(1, 31))
+    # An id that failed is done for this round, so that it does not block others.
+    assert left["processed"] == list(range(1, 32))
+
+    # Again on the same day: nothing is counted or stored twice.
+    prepare_day(spark, paths, DAY)
+    finish_day(spark, paths, rates, DAY)
+    assert _left(spark, paths) == left
+
+    # The next day only what was not tried is asked for, and old answers do not count.
+    summary = run_daily(spark, paths, rates, NEXT_DAY)
+    after = _left(spark, paths)
+    assert after["to_fetch"] == list(range(32, 41))
+    assert after["calls"] == [(DAY, 30), (NEXT_DAY, 1)]
+    assert summary.answers == 1 and after["store"] == [*range(1, 31), 32]
+    # Yesterday's cache is gone.
+    assert after["cache"] == [32]
+
+    # When every listed id is done the set starts anew.
+    last = NEXT_DAY + datetime.timedelta(days=1)
+    _answer(spark, paths, [_good(i, last) for i in range(33, 41)])
+    run_daily(spark, paths, rates, last)
     assert load_processed(spark, paths.processed).count() == 0
 
 
+def test_run_daily_leaves_no_intermediates(spark, tmp_path, rates):
+    paths = DailyPaths.under(str(tmp_path))
+    _list_apps(tmp_path, 12)
+    _answer(spark, paths, [_good(i) for i in range(1, 13)])
+    from pathlib import Path
+
+    folder = Path(scratch.scratch_path(spark).removeprefix("file:")).parent
+    before = set(folder.iterdir()) if folder.exists() else set()
+    run_daily(spark, paths, rates, DAY)
+    assert (set(folder.iterdir()) if folder.exists() else set()) == before
+
+
+@pytest.mark.parametrize("ids", [[], [1], [2], [3], [4], [5]])
+def test_price_model_on_small_days(spark, ids):
+    from ludolens.operators.regression import split
+
+    data = [(i, 2000 + i, float(i)) for i in ids]
+    games = spark.createDataFrame(data, "appid bigint, release_year int, price_usd double")
+    learn, held_out = (side.count() for side in split(games, "appid"))
+    predicted = predict_prices(games)
+    assert (predicted.model is None) == (learn == 0)
+    assert predicted.rows.count() == (held_out if learn else 0)
+    assert predicted.rows.columns == ["release_year", "actual_price", "predicted_price"]
+
+
 def test_cached_details_are_taken_in(spark, tmp_path):
     paths = DailyPaths.under(str(tmp_path))
     write_json(spark.createDataFrame([(1, "a"), (2, "b")], schemas.APP), paths.catalogue)
     served = spark.createDataFrame([(1, '{"name":"cached"}', DAY, 0)], "appid bigint, details string, fetched_date date, batch_no bigint")
     write_table(served, paths.served)
-    take_in(spark, paths, DAY, buckets=2)
+    seen = take_in(spark, paths, DAY, buckets=2)
+    assert set(seen.values()) == {0}
     assert [r["name"] for r in read_table(spark, paths.store).collect()] == ["cached"]
     assert load_calls(spark, paths.calls).first()["calls"] == 0
     assert [r[0] for r in load_processed(spark, paths.processed).collect()] == [1]
