@@ -55,28 +55,28 @@ def tokenize(
     width, closing = 4 * capacity, np.array([closing_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        words = encoder(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
                 part = batch.slice(at, _ROWS_AT_ONCE)
                 row, piece, ids = [], [], []
                 for i, content in enumerate(part.column(1).to_pylist()):
-                    whole = encode(content or "") + closing
+                    whole = words.encode(content or "") + closing
                     for number, start in enumerate(range(0, len(whole), width)):
                         row.append(i)
                         piece.append(number)
                         ids.append(whole[start : start + width])
-                number = pa.array(piece, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(row, pa.int32())),
-                        number,
+                        pa.array(piece, pa.int32()),
                         pa.array(np.array(piece, np.int64) * capacity),
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array(ids, pa.binary()),
                     ],
                     ["key", "piece", "start", "length", "ids"],
                 )
+        words.forget()
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(
         pieces, f"key {kind}, piece int, start bigint, length bigint, ids binary"

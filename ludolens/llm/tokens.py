@@ -23,7 +23,7 @@ WORDS = re.compile(
 )
 _NOT_PLAIN = re.compile("[^\t-\r -~\xa0-į]")
 
-# Words remembered per worker process; beyond it the memory starts anew.
+# Words remembered in a task; beyond it the memory starts anew.
 _REMEMBERED = 300_000
 
 
@@ -54,6 +54,10 @@ class WordEncoder:
             self.known.clear()
         return b"".join(map(self.known.__getitem__, WORDS.findall(text.lower())))
 
+    def forget(self) -> None:
+        """Give back the memory of the words, at the end of a task."""
+        self.known.clear()
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
