@@ -1,6 +1,7 @@
 """Secret scanning with a random forest that removes false positives.
 
-Candidates are long runs of the characters that keys are made of. Features say how
+Candidates are long runs of the characters that keys are made of, and every value that follows the
+name of a secret and an assignment, whatever its length and punctuation. Features say how
 long a candidate is, how its characters change between letters, digits,
 cases, vowels and consonants, how much of it dictionary words cover, what its path looks like, and
 which words stand around it. A forest trained on labelled findings gives each
@@ -15,12 +16,17 @@ formats and assignments to a name like ``password`` are secrets, runs of letters
 digits only are not; the forest decides the rest.
 
 Defined cases. A NULL or empty text has no candidates. A NULL path has no path
-features. Without labelled findings of both kinds there is no forest: then only known formats
+features. A quoted value after a name and an assignment ends at its quote and counts as one word, spaces
+included; others end at a space, less closing brackets, quotes, commas and semicolons. Such a value shorter than
+``MIN_LENGTH`` is redacted only where it follows a name and an assignment, others wherever they occur. The
+noncharacters U+FDD0 to U+FDD7 end a value. Without labelled findings of both kinds there is no forest: then only known formats
 are secrets, with score 1, and all others score 0. Repeated rows give repeated findings. An
 empty table gives an empty result. The input's columns travel in one struct in ``redact``; only the
 named columns are read elsewhere, so other columns cannot clash.
 """
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -41,9 +47,23 @@ REDACTED = "[SECRET]"
 CANDIDATE = rf"[A-Za-z0-9_+/\-]{{{MIN_LENGTH},}}"
 KNOWN_FORMATS = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9\-]{10,}|sk_live_[A-Za-z0-9]{16,})$"
 SECRET_NAMES = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|auth|bearer|credential)"
+# A name as a whole word or in front of a suffix (tokens, PASSWORD_PROD, authToken), what assigns, and the value.
+_NAME_ENDS = r"(?:orization|entication|s)?(?![a-z])|(?-i:(?<=[a-z])[A-Z])|(?=[_\-.0-9])"
+ASSIGNMENT = r"(?::{1,2}=|[=:]>|={1,3}|:)\s*(?:(?:bearer|basic|token)\s+)?\\?[\"'`]?"
+_INSIDE = r"[^\n\uFDD0-\uFDD7]+?(?<!\\)"
+VALUE = (
+    rf"(?:(?<=\"){_INSIDE}(?=\")|(?<='){_INSIDE}(?=')|(?<=`){_INSIDE}(?=`)"
+    r"|[^\s\uFDD0-\uFDD7]*[^\s\uFDD0-\uFDD7,;)\]}\"'`])"
+)
+NAMED = (
+    rf"({SECRET_NAMES}(?:{_NAME_ENDS})[\w\-.]{{0,64}}\\?[\"'`]?\]?\s*{ASSIGNMENT})(?![\"'`])({VALUE})"
+)
 EXAMPLE_PATHS = r"(?i)(?:test|example|sample|mock|fixture|doc)"
 SPACES = r"[\x20\x09-\x0D]+"
 
+# Stand in a copy of the text for spaces inside a value, and for its begin and end.
+_BLANKS, _HIDDEN, _BEGIN, _END = " \t\n\x0b\x0c\r", "\ufdd0\ufdd1\ufdd2\ufdd3\ufdd4\ufdd5", "\ufdd6", "\ufdd7"
+
 FEATURES = [
     "length",
     "letter_digit_changes",
@@ -66,16 +86,39 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("double")
 
 
+def _with_values(text: Column, change: Callable[[Column], Column]) -> Column:
+    """``text`` with ``change`` made to every value that follows a name and an assignment."""
+    pattern = F.lit(NAMED)
+    parts = F.arrays_zip(
+        F.split(text, NAMED).alias("gap"),
+        F.regexp_extract_all(text, pattern, F.lit(1)).alias("name"),
+        F.regexp_extract_all(text, pattern, F.lit(2)).alias("value"),
+    )
+    # The last gap has no value after it.
+    joined = F.transform(
+        parts,
+        lambda p: F.when(p["name"].isNull(), p["gap"]).otherwise(F.concat(p["gap"], p["name"], change(p["value"]))),
+    )
+    return F.when(text.rlike(NAMED), F.array_join(joined, "")).otherwise(text)
+
+
+def _shown(text: Column) -> Column:
+    return F.translate(text, _HIDDEN + _BEGIN + _END, _BLANKS)
+
+
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """key, digest of the text, path, word_no, candidate and the words around it, one row per candidate."""
     words = docs.select(
         F.col(key).alias("key"),
         F.md5(F.col(text).cast("binary")).alias("digest"),
         F.col(path).cast("string").alias("path"),
-        F.split(F.col(text), SPACES).alias("words"),
+        F.split(
+            _with_values(F.col(text), lambda v: F.concat(F.lit(_BEGIN), F.translate(v, _BLANKS, _HIDDEN), F.lit(_END))),
+            SPACES,
+        ).alias("words"),
     ).where(F.col("words").isNotNull())
     places = F.filter(
-        F.sequence(F.lit(1), F.size("words")), lambda i: F.element_at("words", i).rlike(CANDIDATE)
+        F.sequence(F.lit(1), F.size("words")), lambda i: F.element_at("words", i).rlike(f"{CANDIDATE}|{_BEGIN}")
     )
     found = words.where(F.col("words")[0].isNotNull()).select("key", "digest", "path", "words", F.explode(places).alias("word_no"))
     around = lambda step: F.coalesce(F.try_element_at("words", F.nullif(F.greatest(F.col("word_no") + step, F.lit(0)), F.lit(0))), F.lit(""))
@@ -84,13 +127,26 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
         "digest",
         "path",
         "word_no",
-        F.element_at("words", F.col("word_no")).alias("word"),
-        F.concat_ws(" ", around(-2), around(-1)).alias("words_before"),
-        around(1).alias("word_after"),
+        F.element_at("words", F.col("word_no")).alias("marked"),
+        _shown(F.element_at("words", F.col("word_no"))).alias("word"),
+        _shown(F.concat_ws(" ", around(-2), around(-1))).alias("words_before"),
+        _shown(around(1)).alias("word_after"),
+    )
+    # What stands in a value is not a candidate besides it.
+    value = f"{_BEGIN}([^{_END}]*){_END}"
+    named = F.transform(
+        F.regexp_extract_all("marked", F.lit(value), F.lit(1)),
+        lambda v: F.struct(_shown(v).alias("candidate"), F.concat(F.lit(_BEGIN), v).alias("_at")),
     )
-    inside = F.explode(F.array_distinct(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))))
-    return placed.select("*", inside.alias("candidate")).withColumn(
-        "before", F.concat_ws(" ", "words_before", F.expr("substring_index(word, candidate, 1)"))
+    rest = F.regexp_replace("marked", value, " ")
+    runs = F.transform(
+        F.regexp_extract_all(rest, F.lit(CANDIDATE), F.lit(0)), lambda v: F.struct(v.alias("candidate"), v.alias("_at"))
+    )
+    inside = F.inline(F.array_distinct(F.concat(named, runs)))
+    return (
+        placed.select("*", inside)
+        .withColumn("before", F.concat_ws(" ", "words_before", _shown(F.expr("substring_index(marked, _at, 1)"))))
+        .drop("marked", "_at")
     )
 
 
@@ -117,7 +173,7 @@ def with_features(found: DataFrame, known_words: list[str]) -> DataFrame:
         "path_depth": F.coalesce(_count(F.col("path"), "[/\\\\]"), F.lit(0.0)),
         "example_path": F.coalesce(F.col("path").rlike(EXAMPLE_PATHS), F.lit(False)).cast("double"),
         "secret_name_before": F.col("before").rlike(SECRET_NAMES).cast("double"),
-        "assigned": F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double"),
+        "assigned": F.col("before").rlike(f"(?i){ASSIGNMENT}$").cast("double"),
         "quoted": F.col("word").rlike("[\"'`]").cast("double"),
         "plain_word_after": F.col("word_after").rlike("^[A-Za-z]+[.,]?$").cast("double"),
     }
@@ -204,8 +260,13 @@ def redact(
     digest = F.md5(F.col(text).cast("binary"))
     rows = docs.select(whole_row(docs), F.col(key).alias("_row_key"), digest.alias("_row_digest"))
     same = F.col("_row_key").eqNullSafe(F.col("_key")) & (F.col("_row_digest") == F.col("_digest"))
-    longest_first = F.array_sort("values", lambda a, b: F.length(b) - F.length(a))
-    clean = F.aggregate(longest_first, F.col(f"row.{text}"), lambda t, v: F.replace(t, v, F.lit(mark)))
+    placed = _with_values(
+        F.col(f"row.{text}"), lambda v: F.when(F.array_contains("values", v), F.lit(mark)).otherwise(v)
+    )
+    # A short value may be part of any word elsewhere.
+    anywhere = F.filter("values", lambda v: F.length(v) >= MIN_LENGTH)
+    longest_first = F.array_sort(anywhere, lambda a, b: F.length(b) - F.length(a))
+    clean = F.aggregate(longest_first, placed, lambda t, v: F.replace(t, v, F.lit(mark)))
     joined = rows.join(broadcast_small(write_scratch(values)), same, "left").withColumn(
         "_clean", F.when(F.col("values").isNull(), F.col(f"row.{text}")).otherwise(clean)
     )

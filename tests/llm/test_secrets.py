@@ -76,3 +76,30 @@ def test_redaction_with_null_and_equal_keys(documents):
     got = sorted(r["text"] for r in secrets.redact(docs, secrets.scan(docs)).collect())
     assert got[0].startswith(secret) or "[SECRET]" in got[0]
     assert got[1:] == ["a [SECRET] b", "a [SECRET] b", "nothing"]
+
+
+def test_short_and_punctuated_values_after_a_name_are_candidates(documents):
+    values = {
+        1: ("password=Tr0ub4dor9 next", "Tr0ub4dor9"),
+        2: ("pwd: hunter2", "hunter2"),
+        3: ('x "password": "p@ss!w#rd$1%&.~", y', "p@ss!w#rd$1%&.~"),
+        4: ("API_KEY_PROD = 'ab\\'c 12  d' z", "ab\\'c 12  d"),
+        5: ("f(token=a.b!c1, x)", "a.b!c1"),
+        6: ("Authorization: Bearer abc.d3f", "abc.d3f"),
+        7: ("secret=\"\" user=\"bob\"", None),
+        8: ("Author: Smith and passage: two", None),
+        9: ("authToken := zx81", "zx81"),
+    }
+    docs = documents([(i, text, "en", None) for i, (text, _) in values.items()])
+    found = secrets.with_features(secrets.candidates(docs), [])
+    got = {r["key"]: r for r in found.collect()}
+    assert {k: r["candidate"] for k, r in got.items()} == {k: v for k, (_, v) in values.items() if v}
+    assert all(r["secret_name_before"] == r["assigned"] == 1.0 for r in got.values())
+
+
+def test_short_values_are_redacted_in_their_place_only(documents):
+    text = 'he hates hats: pwd: hat1 and pass = "two  words9" hat1s\n'
+    docs = documents([(1, text, "en", None), (2, "internationalisations here", "en", None)])
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs, secrets.scan(docs)).collect()}
+    assert clean[1] == 'he hates hats: pwd: [SECRET] and pass = "[SECRET]" hat1s\n'
+    assert clean[2] == "internationalisations here"
