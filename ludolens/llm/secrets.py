@@ -12,15 +12,18 @@ the lowest hashes. The dictionary holds the ``DICTIONARY_WORDS`` most frequent
 plain words of the whole text column. Both bounds are parameters.
 
 Where no reviewer's labels are given, ``label_by_format`` labels what is beyond doubt: known key
-formats and assignments to a name like ``password`` are secrets, runs of letters only or
-digits only are not; the forest decides the rest.
+formats and assignments to a name like ``password`` are secrets, except short values of letters only or digits
+only, which stay without a label; placeholders after such a name are not secrets. Nor are, without such a name, runs
+of letters only or digits only and what looks like a hash, a UUID or words and numbers with separators. The
+forest decides the rest. A known format is a secret whatever the forest says, and so is a mixed value assigned
+to such a name, unless a reviewer's labels taught the forest otherwise.
 
 Defined cases. A NULL or empty text has no candidates. A NULL path has no path
 features. A quoted value after a name and an assignment ends at its quote and counts as one word, spaces
 included; others end at a space, less closing brackets, quotes, commas and semicolons. Such a value shorter than
 ``MIN_LENGTH`` is redacted only where it follows a name and an assignment, others wherever they occur. The
 noncharacters U+FDD0 to U+FDD7 end a value. Without labelled findings of both kinds there is no forest: then only known formats
-are secrets, with score 1, and all others score 0. Repeated rows give repeated findings. An
+and mixed values assigned to a name are secrets, with score 1, and all others score 0. Repeated rows give repeated findings. An
 empty table gives an empty result. The input's columns travel in one struct in ``redact``; only the
 named columns are read elsewhere, so other columns cannot clash.
 """
@@ -46,6 +49,16 @@ REDACTED = "[SECRET]"
 # Key formats, names of secrets and paths of examples.
 CANDIDATE = rf"[A-Za-z0-9_+/\-]{{{MIN_LENGTH},}}"
 KNOWN_FORMATS = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9\-]{10,}|sk_live_[A-Za-z0-9]{16,})$"
+PLACEHOLDERS = r"(?i)^(?:null|none|nil|true|false|undefined|[*x.]+|<[^>]*>?|\$?\{.*|%\(.*)$"
+# Hashes and UUIDs; words and numbers joined by separators have these, but none of the changes after them.
+HASHES = (
+    r"^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}"
+    r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12})$"
+)
+JOINED = r"^[A-Za-z0-9]+[\-_/+]"
+TANGLED = r"[0-9][A-Za-z]|[a-z][A-Z]|[A-Z]{2}[a-z]|[A-Za-z]{2}[0-9]|[A-Za-uw-z][0-9]"
+# A named value of letters only or digits only is a secret beyond doubt from this length on.
+NAMED_LENGTH = 8
 SECRET_NAMES = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|auth|bearer|credential)"
 # A name as a whole word or in front of a suffix (tokens, PASSWORD_PROD, authToken), what assigns, and the value.
 _NAME_ENDS = r"(?:orization|entication|s)?(?![a-z])|(?-i:(?<=[a-z])[A-Z])|(?=[_\-.0-9])"
@@ -180,12 +193,30 @@ def with_features(found: DataFrame, known_words: list[str]) -> DataFrame:
     return found.select("*", *[made[name].alias(name) for name in FEATURES])
 
 
+def _mixed() -> Column:
+    return F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
+
+
+def _named() -> Column:
+    return (F.col("secret_name_before") > 0) & (F.col("assigned") > 0)
+
+
+def _certain() -> Column:
+    """Known formats, and mixed values assigned to the name of a secret."""
+    value = F.col("candidate")
+    return value.rlike(KNOWN_FORMATS) | (_named() & _mixed() & ~value.rlike(PLACEHOLDERS))
+
+
 def label_by_format(found: DataFrame) -> DataFrame:
     """Add ``label``: 1.0 or 0.0 where the format leaves no doubt, otherwise NULL."""
     value = F.col("candidate")
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    named = (F.col("secret_name_before") > 0) & (F.col("assigned") > 0) & mixed
-    label = F.when(value.rlike(KNOWN_FORMATS) | named, 1.0).when(~mixed, 0.0)
+    identifier = value.rlike(HASHES) | (value.rlike(JOINED) & ~value.rlike(TANGLED))
+    label = (
+        F.when(_certain(), 1.0)
+        .when(_named(), F.when(value.rlike(PLACEHOLDERS), 0.0).when(F.length(value) >= NAMED_LENGTH, 1.0))
+        .when(~_mixed(), 0.0)
+        .when((F.col("secret_name_before") == 0) & identifier, 0.0)
+    )
     return found.withColumn("label", label)
 
 
@@ -216,12 +247,16 @@ def train(labelled: DataFrame, rows_per_label: int = TRAIN_ROWS) -> RandomForest
     return forest.fit(assembled.select("label", "_features", "_weight"))
 
 
-def score(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
-    """Add ``score``, the chance of being a secret."""
+def score(
+    found: DataFrame, model: RandomForestClassificationModel | None, keep_named: bool = True
+) -> DataFrame:
+    """Add ``score``, the chance of being a secret; 1 for known formats and, if kept, mixed named values."""
+    certain = (_certain() if keep_named or model is None else F.col("candidate").rlike(KNOWN_FORMATS)).cast("double")
     if model is None:
-        return found.withColumn("score", F.col("candidate").rlike(KNOWN_FORMATS).cast("double"))
+        return found.withColumn("score", certain)
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(found)
-    scored = model.transform(assembled).withColumn("score", vector_to_array("probability")[1])
+    chance = vector_to_array("probability")[1]
+    scored = model.transform(assembled).withColumn("score", F.greatest(chance, certain))
     return scored.select(*found.columns, "score")
 
 
@@ -239,7 +274,7 @@ def scan(
     """
     found = write_scratch(with_features(candidates(docs, key, text, path), dictionary(docs, text)))
     model = train(labelled if labelled is not None else label_by_format(found))
-    return score(found, model).withColumn("is_secret", F.col("score") >= threshold)
+    return score(found, model, keep_named=labelled is None).withColumn("is_secret", F.col("score") >= threshold)
 
 
 def redact(
