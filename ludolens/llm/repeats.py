@@ -18,7 +18,8 @@ Equal texts are one document: their bytes all repeat, and only the first takes p
 Defined cases. A NULL text is empty and has nothing removed. Texts shorter than ``length``
 have nothing to remove. NULL and repeated keys are rows like any other. An empty table gives an empty
 result. Only key and text are read, so other columns cannot clash. What is kept is bytes, as a
-cut may fall inside a character.
+cut may fall inside a character. A long text is hashed in stretches that overlap by ``length - 1`` bytes, so each
+place belongs to one stretch; a run cut in two there only means one more piece to sort.
 """
 
 from collections.abc import Iterator
@@ -79,10 +80,15 @@ def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(texts: list[bytes], length: int, window: int) -> tuple[np.ndarray, ...]:
-    """Text, first place, number of places and window hash of each run."""
+    """Text, first place, number of places and window hash of each run.
+
+    The texts have ``1 << _PLACE_BITS`` bytes at most together.
+    """
     sizes = np.array([len(t) for t in texts])
     start = np.concatenate([[0], np.cumsum(sizes)])
     data = np.frombuffer(b"".join(texts), np.uint8)
+    if len(data) > 1 << _PLACE_BITS:
+        raise ValueError("more bytes than places")
     if len(data) < length:
         return (np.zeros(0, np.int64),) * 4
     hashes = window_hashes(data, window, 1)
@@ -100,15 +106,30 @@ def runs_of(texts: list[bytes], length: int, window: int) -> tuple[np.ndarray, .
     return text[begins], place[begins], counts, mixed(hashes[at[begins]]).view(np.int64)
 
 
-def _parts(texts: list[bytes]) -> Iterator[slice]:
-    start = total = 0
+def _stretches(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Text, first place and bytes of stretches, in lists of bounded size."""
+    most = min(max(_BYTES_AT_ONCE, 2 * length), 1 << _PLACE_BITS)
+    if most < length:
+        raise ValueError(f"length must be {most} at most")
+    part, total = [], 0
     for i, text in enumerate(texts):
-        if total and total + len(text) > _BYTES_AT_ONCE:
-            yield slice(start, i)
-            start, total = i, 0
-        total += len(text)
-    if texts:
-        yield slice(start, len(texts))
+        for start in range(0, max(1, len(text) - length + 1), most - length + 1):
+            stretch = text[start : start + most]
+            if part and total + len(stretch) > most:
+                yield part
+                part, total = [], 0
+            part.append((i, start, stretch))
+            total += len(stretch)
+    if part:
+        yield part
+
+
+def all_runs(texts: list[bytes], length: int, window: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """What ``runs_of`` gives, part by part, for texts of any length."""
+    for part in _stretches(texts, length):
+        numbers, starts = (np.array(c, np.int64) for c in list(zip(*part))[:2])
+        stretch, first, own, window_hash = runs_of([p[2] for p in part], length, window)
+        yield numbers[stretch], starts[stretch] + first, own, window_hash
 
 
 def covered(starts: np.ndarray, length: int) -> np.ndarray:
@@ -237,11 +258,10 @@ def repeated_ranges(
         for batch in batches:
             digests = batch.column(0)
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-            for part in _parts(texts):
-                text, first, own, window_hash = runs_of(texts[part], length, window)
+            for text, first, own, window_hash in all_runs(texts, length, window):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        digests.take(pa.array(text + part.start)),
+                        digests.take(pa.array(text, pa.int64())),
                         pa.array(first, pa.int64()),
                         pa.array(own, pa.int64()),
                         pa.array(window_hash, pa.int64()),

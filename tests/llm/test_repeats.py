@@ -88,3 +88,34 @@ def test_spans_name_the_removed_bytes(documents):
     got = repeats.remove_repeats(documents([(1, "a" + shared + "b"), (2, "c" + shared)]), length=40, window=8)
     spans = {r["doc_id"]: [tuple(s) for s in r["removed"]] for r in got.collect()}
     assert spans == {1: [(1, 1 + len(shared))], 2: [(1, 1 + len(shared))]}
+
+
+def test_windows_of_long_texts_are_those_of_short_ones(monkeypatch):
+    rng = np.random.default_rng(3)
+    shared = rng.integers(0, 256, 60, np.uint8).tobytes()
+    filler = [rng.integers(0, 256, n, np.uint8).tobytes() for n in (1500, 40, 2900, 7)]
+    texts = [filler[0] + shared + filler[1], b"", filler[2] + shared, filler[3]]
+
+    def windows():
+        found = {}
+        for part in repeats.all_runs(texts, 40, 8):
+            for text, first, own, window in zip(*(c.tolist() for c in part)):
+                for place in range(first, first + own):
+                    assert (text, place) not in found
+                    found[text, place] = window
+        return found
+
+    whole = windows()
+    assert len(whole) == sum(max(0, len(t) - 39) for t in texts)
+    assert all(whole[0, 1500 + i] == whole[2, 2900 + i] for i in range(21))
+    for bits in (6, 7, 9, 10):
+        monkeypatch.setattr(repeats, "_PLACE_BITS", bits)
+        cut = windows()
+        assert cut.keys() == whole.keys()
+        assert all(cut[0, 1500 + i] == cut[2, 2900 + i] for i in range(21))
+
+
+def test_more_bytes_than_places_is_an_error(monkeypatch):
+    monkeypatch.setattr(repeats, "_PLACE_BITS", 7)
+    with pytest.raises(ValueError):
+        repeats.runs_of([bytes(200)], 40, 8)
