@@ -7,7 +7,9 @@ with the lowest ``phrases * log2(sample length) / characters`` wins.
 
 The automaton is stored as one table of transitions in which a failing
 character counts a phrase and starts the next one, so that many blocks of text
-are parsed side by side with array lookups. Texts are parsed whole, in blocks of
+are parsed side by side with array lookups. The table has the ``DENSE`` most frequent characters of its own
+language's sample; transitions by the others, of which large scripts have thousands, are looked up in a
+sorted list, so every character of a sample counts. Texts are parsed whole, in blocks of
 ``BLOCK`` code points, each starting a new phrase, so a long text takes
 no more memory than short ones.
 
@@ -37,16 +39,31 @@ SAMPLE_TEXTS = 160
 SAMPLE_WINDOW = 256
 MAX_LANGUAGES = 256
 BLOCK = 256
-ALPHABET = 62
+DENSE = 62
 
 # Code points parsed at a time; bounds the memory of a task.
 _CHARS_AT_ONCE = 1 << 21
-_OTHER, _PAD, _WIDTH = ALPHABET, ALPHABET + 1, ALPHABET + 2
+_OTHER, _PAD, _WIDTH = DENSE, DENSE + 1, DENSE + 2
+
+
+class Parser(NamedTuple):
+    """A language's table, the symbol of each character of the model, and what rare characters do.
+
+    ``symbols`` and ``rare`` go by the model's number of a character; ``rare`` is -1 for characters in the
+    table or not in the sample. ``keys`` are ascending, ``state * len(restarts) + rare``, and lead to ``values``.
+    """
+
+    table: np.ndarray
+    symbols: np.ndarray
+    rare: np.ndarray
+    restarts: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
 
 
 class Model(NamedTuple):
     languages: list[str]
-    tables: list[np.ndarray]
+    parsers: list[Parser]
     bits: list[float]
     codes: np.ndarray
 
@@ -119,47 +136,72 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return edges
 
 
-def _parse_table(edges: list[dict[int, int]]) -> np.ndarray:
-    """``table[state * width + symbol]`` is twice the next row, plus 1 if a phrase ended."""
+def _parser(sample: np.ndarray, known: int) -> Parser:
+    """Parser of a sample of character numbers below ``known``, with two more for others and padding."""
+    numbers, counts = np.unique(sample, return_counts=True)
+    numbers = numbers[np.lexsort((numbers, -counts))]
+    own = np.zeros(known, np.int64)
+    own[numbers] = np.arange(len(numbers))
+    edges = suffix_automaton(own[sample].tolist())
+    dense, others = min(DENSE, len(numbers)), max(0, len(numbers) - DENSE)
     restart = np.ones(_WIDTH, np.int64)
+    restarts = np.ones(others, np.int64)
     for symbol, state in edges[0].items():
-        restart[symbol] = 2 * state * _WIDTH + 1
+        if symbol < dense:
+            restart[symbol] = 2 * state * _WIDTH + 1
+        else:
+            restarts[symbol - dense] = 2 * state * _WIDTH + 1
     # Padding leads to the start and ends no phrase.
     restart[_PAD] = 0
+    # ``table[state * width + symbol]`` is twice the next row, plus 1 if a phrase ended.
     table = np.tile(restart, (len(edges), 1))
+    rest = []
     for state, out in enumerate(edges):
         for symbol, target in out.items():
-            table[state, symbol] = 2 * target * _WIDTH
-    return table.ravel().astype(np.int32 if table.max() < 2**31 else np.int64)
+            if symbol < dense:
+                table[state, symbol] = 2 * target * _WIDTH
+            else:
+                rest.append((state * others + symbol - dense, 2 * target * _WIDTH))
+    kind = np.int32 if 2 * len(edges) * _WIDTH < 2**31 else np.int64
+    keys, values = np.array(sorted(rest), np.int64).reshape(-1, 2).T
+    symbols = np.full(known + 2, _OTHER, np.uint8)
+    symbols[numbers[:dense]] = np.arange(dense)
+    symbols[known + 1] = _PAD
+    rare = np.full(known + 2, -1, np.int32)
+    rare[numbers[dense:]] = np.arange(others)
+    return Parser(
+        table.ravel().astype(kind), symbols, rare, restarts.astype(kind), keys.copy(), values.astype(kind)
+    )
 
 
 def learn(samples: dict[str, str]) -> Model:
-    """One parsing table per language, over the most frequent characters of all samples."""
+    """One parser per language, each over all characters of its own sample."""
     lowered = {name: samples[name].lower() for name in sorted(samples)}
-    characters, counts = np.unique(
-        np.array([ord(c) for s in lowered.values() for c in s], np.int64), return_counts=True
-    )
-    frequent = characters[np.lexsort((characters, -counts))][:ALPHABET]
-    codes = np.full(0x110000, _OTHER, np.uint8)
-    codes[frequent] = np.arange(len(frequent))
-    tables, bits = [], []
-    for sample in lowered.values():
-        symbols = [int(x) for x in codes[[ord(c) for c in sample]]]
-        # Rare characters are in no phrase.
-        edges = suffix_automaton([s if s != _OTHER else _PAD for s in symbols])
-        for out in edges:
-            out.pop(_PAD, None)
-        tables.append(_parse_table(edges))
-        bits.append(float(np.log2(max(2, len(sample)))))
-    return Model(list(lowered), tables, bits, codes)
-
-
-def _phrases(table: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    points = [np.array([ord(c) for c in s], np.int64) for s in lowered.values()]
+    characters = np.unique(np.concatenate([np.zeros(0, np.int64), *points]))
+    codes = np.full(0x110000, len(characters), np.int32)
+    codes[characters] = np.arange(len(characters))
+    parsers = [_parser(codes[p], len(characters)) for p in points]
+    return Model(list(lowered), parsers, [float(np.log2(max(2, len(s)))) for s in lowered.values()], codes)
+
+
+def _phrases(parser: Parser, steps: np.ndarray) -> np.ndarray:
     """Phrases ended in each column of ``steps``, which holds one block per column."""
-    row = np.zeros(steps.shape[1], table.dtype)
+    row = np.zeros(steps.shape[1], parser.table.dtype)
     ended = np.zeros(steps.shape[1], np.int64)
-    for symbols in steps:
-        row = table[(row >> 1) + symbols]
+    rare_at, column = (
+        np.nonzero(parser.rare[steps] >= 0) if len(parser.restarts) else (np.zeros(0, np.int64),) * 2
+    )
+    bounds = np.searchsorted(rare_at, np.arange(len(steps) + 1))
+    for k, numbers in enumerate(steps):
+        before = row >> 1
+        row = parser.table[before + parser.symbols[numbers]]
+        if bounds[k] < bounds[k + 1]:
+            at = column[bounds[k] : bounds[k + 1]]
+            rare = parser.rare[numbers[at]]
+            key = (before[at] // _WIDTH).astype(np.int64) * len(parser.restarts) + rare
+            place = np.minimum(np.searchsorted(parser.keys, key), len(parser.keys) - 1)
+            row[at] = np.where(parser.keys[place] == key, parser.values[place], parser.restarts[rare])
         ended += row & 1
     return ended
 
@@ -169,12 +211,14 @@ def phrase_rates(model: Model, texts: list[str]) -> np.ndarray:
     lengths = np.array([len(t) for t in texts])
     blocks = np.maximum(1, -(-lengths // BLOCK))
     first = np.concatenate([[0], np.cumsum(blocks)])
-    symbols = np.full(first[-1] * BLOCK, _PAD, np.int32)
+    # Numbers of characters; those in no sample have the last but one, padding the last.
+    padding = len(model.parsers[0].symbols) - 1
+    numbers = np.full(first[-1] * BLOCK, padding, np.int32)
     for text, start in zip(texts, first):
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        symbols[start * BLOCK : start * BLOCK + len(points)] = model.codes[points]
-    steps = np.ascontiguousarray(symbols.reshape(-1, BLOCK).T)
-    ended = [np.add.reduceat(_phrases(table, steps), first[:-1]) for table in model.tables]
+        numbers[start * BLOCK : start * BLOCK + len(points)] = model.codes[points]
+    steps = np.ascontiguousarray(numbers.reshape(-1, BLOCK).T)
+    ended = [np.add.reduceat(_phrases(parser, steps), first[:-1]) for parser in model.parsers]
     return (np.stack(ended, 1) + 1) * np.array(model.bits) / np.maximum(1, lengths)[:, None]
 
 

@@ -91,3 +91,32 @@ def test_held_out_accuracy(spark):
     got = queries.op1_language_id(spark, FOLDER).join(docs, "doc_id").where("held_out and n > 100").collect()
     assert len(got) > 10
     assert sum(r["lang"] == r["lang_pred"] for r in got) / len(got) > 0.97
+
+
+def test_parse_equals_search_with_many_characters():
+    rng = random.Random(2)
+    signs = [chr(0x4E00 + i) for i in range(500)] + list("abc d")
+    sample = "".join(rng.choice(signs) for _ in range(900))
+    model = language.learn({"x": sample, "y": "other letters: éèñ"})
+    texts = [sample[40:90] + "zab" + sample[300:333], "".join(rng.choice([*signs, "z", "é"]) for _ in range(700)), ""]
+    rates = language.phrase_rates(model, texts)[:, 0]
+    ours = np.rint(rates * np.maximum(1, [len(t) for t in texts]) / model.bits[0]).astype(int) - 1
+    assert ours.tolist() == [greedy_phrases(sample, t) for t in texts]
+
+
+def test_scripts_are_told_apart():
+    rng = random.Random(3)
+    # Two languages in each of four scripts, made of the same characters; one script is large.
+    scripts = {"la": (0x61, 26), "cy": (0x430, 32), "gr": (0x3B1, 25), "zh": (0x4E00, 900)}
+    words = {
+        f"{name}{k}": ["".join(chr(first + rng.randrange(n)) for _ in range(rng.randrange(2, 6))) for _ in range(60)]
+        for name, (first, n) in scripts.items()
+        for k in (1, 2)
+    }
+    # The smaller the script's sample, the fewer of its characters are among the most frequent of all.
+    sizes = {"la": 6000, "cy": 1200, "gr": 900, "zh": 900}
+    text = lambda name, n: " ".join(rng.choice(words[name]) for _ in range(n))
+    model = language.learn({name: text(name, sizes[name[:2]]) for name in words})
+    texts = [(name, text(name, 12)) for name in words for _ in range(20)]
+    found, _ = language.predict_texts(model, [t for _, t in texts])
+    assert found == [name for name, _ in texts]
