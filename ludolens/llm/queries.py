@@ -4,11 +4,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolens.llm import embeddings, fingerprints, language, minhash, mixing, packing, repeats, secrets, sharding, warc
+from ludolens.llm import (
+    alignment,
+    decontamination,
+    embeddings,
+    fingerprints,
+    language,
+    minhash,
+    mixing,
+    packing,
+    repeats,
+    secrets,
+    sharding,
+    spelling,
+    warc,
+)
 from ludolens.llm.tables import table
 
 SHARDS = 16
 VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,6 +178,66 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with the more frequent spelling it goes back to."""
+    return spelling.spelling_forms(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    return alignment.align_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BYTE_VOCABULARY),
+        public_tokenizers.path(PIECE_VOCABULARY),
+    )
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark items hold verbatim."""
+    found = decontamination.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_LEAK_SQL = r"""
+with item_words as (
+  select distinct item_id::varchar as item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark where text is not null
+), windows as (
+  select item_id, least(len(w), 10) as width,
+    unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) as words
+  from item_words where len(w) > 0
+), doc_words as (
+  select row_number() over () as doc_no, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), widths as (
+  select distinct width from windows
+), places as (
+  select doc_no, width, w, unnest(range(1, len(w) - width + 2)) as pos from doc_words, widths where len(w) >= width
+), met as (
+  select p.doc_no, p.pos, p.width, n.item_id from
+    (select doc_no, pos, width, array_to_string(w[pos:pos + width - 1], ' ') as words from places) p
+    join windows n on n.width = p.width and n.words = p.words
+), hit as (
+  select doc_no, count(distinct place) as n from (select doc_no, unnest(range(pos, pos + width)) as place from met) group by doc_no
+), listed as (
+  select doc_no, count(*) as n, string_agg(item_id, ',' order by item_id) as items
+  from (select distinct doc_no, item_id from met where item_id is not null) group by doc_no
+)
+select d.doc_id, len(w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(l.n, 0)::bigint as n_items,
+  sha256(coalesce(l.items, '')) as items_sha256, coalesce(h.n, 0) > 0 as contaminated
+from doc_words d left join hit h on h.doc_no = d.doc_no left join listed l on l.doc_no = d.doc_no
+"""
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_fingerprints": op2_fingerprints,
@@ -173,6 +249,9 @@ QUERIES = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_decontamination": op13_decontamination,
 }
 
 _MIX_SQL = r"""
@@ -213,4 +292,5 @@ ORACLE_SQL = {
     "op5_mixing": _MIX_SQL,
     "op6_embedding_dedup": _EMBEDDING_SQL,
     "op8_minhash_dedup": _NEAR_SQL,
+    "op13_decontamination": _LEAK_SQL,
 }

@@ -7,10 +7,12 @@ import zlib
 
 import comparing
 import pytest
+from test_alignment import PATHS, brute_rows
 from test_repeats import _brute as brute_repeats
+from test_spelling import brute_counts, brute_forms
 
 import __spark_entry__ as contract
-from ludolens.llm import queries
+from ludolens.llm import alignment, queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -25,9 +27,9 @@ def _rows(spark, name):
     return [r.asDict() for r in queries.QUERIES[name](spark, FOLDER).collect()]
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert "pipeline" in names
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
@@ -88,6 +90,16 @@ def test_repeats(spark, texts):
     assert got == brute_repeats(texts, 400)
 
 
+def test_spelling_variants(spark, texts):
+    got = sorted((tuple(r.values()) for r in _rows(spark, "op11_spelling_variants")), key=repr)
+    assert got == brute_forms(brute_counts(texts))
+
+
+def test_token_alignment(spark, texts):
+    got = sorted((tuple(r.values()) for r in _rows(spark, "op12_token_alignment")), key=repr)
+    assert got == brute_rows(alignment.Aligner(*PATHS), texts)
+
+
 def test_mixing_repeats_itself(spark):
     first, again = (sorted(tuple(r.values()) for r in _rows(spark, "op5_mixing")) for _ in range(2))
     assert first == again
