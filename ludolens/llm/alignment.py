@@ -7,8 +7,8 @@ token, and a group of tokens ends. The product of the two group incidences gives
 pairs of tokens that share a group. Matrices are compressed rows in plain arrays, and products go row by row.
 
 Neither tokenizer joins a space to what stands before it, so a text is cut in front of single
-spaces between visible characters, and each different part of a batch is encoded and multiplied once.
-Batches have a bounded number of characters; a long text passes through several.
+spaces between visible characters, and each different part is encoded and multiplied once for as long as it
+is remembered. Batches have a bounded number of characters; a long text passes through several.
 
 How many documents hold a pair of ids linked is counted over the whole table. The written links are joined
 with these counts, which are broadcast only if they measure small.
@@ -23,6 +23,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -41,6 +42,9 @@ _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 # Characters cut and aligned together, and characters handed to a tokenizer in one call.
 _CHARS_AT_ONCE = 3 << 20
 _ENCODED_AT_ONCE = 1 << 18
+# Parts, and characters of parts, beyond which a worker forgets what it has aligned.
+_REMEMBERED = 300_000
+_REMEMBERED_CHARS = 16 << 20
 # Entries a product expands at a time.
 _EXPANDED = 1 << 21
 
@@ -155,6 +159,28 @@ class Aligner:
         self.a_sizes = np.array([len(x) for x in self.a_bytes])
         self.b_sizes = np.array([len(x) for x in self.b_bytes])
         self.ids_b = len(self.b_bytes)
+        # Each id with what follows it in the text of groups.
+        self.shown = [f"{i}{end}" for end in ",|" for i in range(len(self.a_bytes))]
+        self.shown += [f"{i}{end}" for end in ",;\n" for i in range(self.ids_b)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.chars = 0
+        none = np.zeros(0, np.int64)
+        self.stored = Aligned(none, none, none, none.astype(bool), [], np.zeros(1, np.int64), none, none)
+
+    def numbers(self, texts: list[str]) -> list[list[int]]:
+        """Place of every part of each text in ``stored``, where parts not known yet are added."""
+        if len(self.known) > _REMEMBERED or self.chars > _REMEMBERED_CHARS:
+            self.forget()
+        known, before = self.known, len(self.known)
+        numbers = [[known.setdefault(p, len(known)) for p in _CUT.split(text)] for text in texts]
+        fresh = list(islice(known, before, None))
+        if fresh:
+            self.chars += sum(map(len, fresh))
+            self.stored = _joined([self.stored, self.align(fresh)])
+        return numbers
 
     def _tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both for a space and ``text``; None unless both give the bytes back."""
@@ -202,11 +228,19 @@ class Aligner:
         a_from = np.searchsorted(group_a, np.arange(groups + 1))
         b_from = np.searchsorted(group_b, np.arange(groups + 1))
         part_of_group = part_of_a[a_from[:-1]]
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        bounds = zip(a_from[:-1].tolist(), a_from[1:].tolist(), b_from[:-1].tolist(), b_from[1:].tolist())
-        text = [",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m]) for i, j, k, m in bounds]
         by_part = np.searchsorted(part_of_group, np.arange(count + 1))
-        edges = by_part.tolist()
+
+        # The ids of both sides in the order of the text, each with what follows it.
+        code = np.empty(len(a) + len(b), np.int64)
+        a_ends = np.zeros(len(a), np.int64)
+        a_ends[a_from[1:] - 1] = 1
+        b_ends = np.zeros(len(b), np.int64)
+        b_ends[b_from[1:] - 1] = 1
+        b_ends[b_from[by_part[1:]] - 1] = 2
+        size_a = len(self.a_bytes)
+        code[np.arange(len(a)) + b_from[group_a]] = a + size_a * a_ends
+        code[np.arange(len(b)) + a_from[group_b + 1]] = 2 * size_a + b + self.ids_b * b_ends
+        text = "".join(map(self.shown.__getitem__, code.tolist()))
 
         in_group, id_a, times_a = _incidence(group_a, a, len(self.a_bytes))
         b_group, id_b, times_b = _incidence(group_b, b, self.ids_b)
@@ -219,7 +253,7 @@ class Aligner:
             np.bincount(part_of_group[group_b], minlength=count),
             np.diff(by_part),
             np.zeros(count, bool),
-            [";".join(text[i:j]) for i, j in zip(edges, edges[1:])],
+            text.split("\n")[:count],
             np.searchsorted(part_of_group[in_group[row]], np.arange(count + 1)),
             id_a[row] * self.ids_b + id_b[links.column],
             links.value,
@@ -284,17 +318,17 @@ class _Document:
 
 
 def _align_stretches(made: Aligner, stretches: list[tuple[_Document, str]]) -> None:
-    """Add the stretches to their documents; each different part is aligned once."""
-    known: dict[str, int] = {}
-    numbers = [[known.setdefault(p, len(known)) for p in _CUT.split(text)] for _, text in stretches]
-    aligned = made.align(list(known))
+    """Add the stretches to their documents."""
+    numbers = made.numbers([text for _, text in stretches])
+    aligned = made.stored
     part = np.array([n for stretch in numbers for n in stretch], np.int64)
     stretch = np.repeat(np.arange(len(numbers)), [len(n) for n in numbers])
     sums = [np.bincount(stretch, c[part], len(numbers)).astype(np.int64) for c in aligned[:3]]
     lost = np.bincount(stretch, aligned.lost[part], len(numbers)) > 0
 
-    held, often = summed(stretch * len(known) + part, np.ones(len(part), np.int64))
-    holder, part = held // len(known), held % len(known)
+    known = len(aligned.groups)
+    held, often = summed(stretch * known + part, np.ones(len(part), np.int64))
+    holder, part = held // known, held % known
     counts = np.diff(aligned.start)[part]
     at = spans_of(aligned.start, part)
     pairs = len(made.a_bytes) * made.ids_b
