@@ -60,8 +60,9 @@ def tokenize(
             for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
                 part = batch.slice(at, _ROWS_AT_ONCE)
                 row, piece, ids = [], [], []
-                for i, content in enumerate(part.column(1).to_pylist()):
-                    whole = words.encode(content or "") + closing
+                texts = [content or "" for content in part.column(1).to_pylist()]
+                for i, encoded in enumerate(words.encode_all(texts)):
+                    whole = encoded + closing
                     for number, start in enumerate(range(0, len(whole), width)):
                         row.append(i)
                         piece.append(number)

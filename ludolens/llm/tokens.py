@@ -2,7 +2,8 @@
 
 The vocabulary splits text into words before it merges, so a word's ids do not
 depend on its neighbours. Texts made of plain Latin characters are split
-here and each distinct word is encoded once; all other texts, and texts that
+here and each distinct word is encoded once, together with the other new words of its
+batch: the ids of each word end with one that closes a word. All other texts, and texts that
 may spell a special token, are encoded whole.
 """
 
@@ -27,32 +28,47 @@ _NOT_PLAIN = re.compile("[^\t-\r -~\xa0-į]")
 _REMEMBERED = 300_000
 
 
-class _WordIds(dict):
-    """Ids by word, as little-endian unsigned 32-bit numbers; learned when first asked for."""
-
-    def __init__(self, tokenizer: Tokenizer) -> None:
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, word: str) -> bytes:
-        self[word] = ids = self.whole(word)
-        return ids
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+# What ids that close a word end with.
+_CLOSES = "</w>"
 
 
 class WordEncoder:
     def __init__(self, path: str) -> None:
-        self.known = _WordIds(Tokenizer.from_file(path))
-
-    def encode(self, text: str) -> bytes:
-        """Ids of the whole text as little-endian unsigned 32-bit numbers."""
-        if "<|" in text or _NOT_PLAIN.search(text):
-            return self.known.whole(text)
+        self.tokenizer = Tokenizer.from_file(path)
+        entries = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.closes = np.array([(entry or "").endswith(_CLOSES) for entry in entries])
+        self.known: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of ``words``, from one call for all of them."""
+        ids = self._whole(" ".join(words))
+        ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+        if len(ends) != len(words):
+            self.known.update((word, self._whole(word).tobytes()) for word in words)
+            return
+        data, edges = ids.tobytes(), [0, *ends.tolist()]
+        self.known.update((word, data[i:j]) for word, i, j in zip(words, edges, edges[1:]))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each whole text as little-endian unsigned 32-bit numbers."""
         if len(self.known) > _REMEMBERED:
             self.known.clear()
-        return b"".join(map(self.known.__getitem__, WORDS.findall(text.lower())))
+        words = [None if "<|" in t or _NOT_PLAIN.search(t) else WORDS.findall(t.lower()) for t in texts]
+        known = self.known
+        fresh = list(dict.fromkeys(w for found in words if found for w in found if w not in known))
+        if fresh:
+            self._learn(fresh)
+        return [
+            self._whole(text).tobytes() if found is None else b"".join(map(known.__getitem__, found))
+            for text, found in zip(texts, words)
+        ]
+
+    def encode(self, text: str) -> bytes:
+        """Ids of one whole text."""
+        return self.encode_all([text])[0]
 
     def forget(self) -> None:
         """Give back the memory of the words, at the end of a task."""

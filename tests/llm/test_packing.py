@@ -36,6 +36,16 @@ def test_words_encode_like_the_whole_text(text):
     assert np.frombuffer(WordEncoder(PATH).encode(text), "<u4").tolist() == whole
 
 
+def test_words_of_a_batch_encode_like_whole_texts(monkeypatch):
+    monkeypatch.setattr("ludolens.llm.tokens._REMEMBERED", 50)
+    rng, whole, words = random.Random(8), Tokenizer.from_file(PATH), WordEncoder(PATH)
+    alphabet = "abcS'tTl  \t\n09.,!-é\xa0½ª日<|>"
+    for _ in range(30):
+        texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(20)]
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in words.encode_all(texts)]
+        assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_fullest_is_the_best_subset_sum():
     rng = random.Random(2)
     for _ in range(200):
