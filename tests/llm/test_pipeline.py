@@ -37,6 +37,15 @@ def test_every_stage_on_odd_rows(spark, odd):
     _whole(made[-1].collect(), 2048)
 
 
+def test_labels_follow_the_parse(spark, documents):
+    german = "der schnelle braune fuchs springt über den faulen hund und läuft dann weiter durch den wald"
+    english = "the quick brown fox jumps over the lazy dog and then runs further through the forest"
+    rows = [(i, f"{english} {i}", "en", "a") for i in range(20)] + [(i, f"{german} {i}", "de", "a") for i in range(20, 40)]
+    rows += [(40, german, "en", "a"), (41, english, None, "a"), (42, "1 2 3", "en", "a"), (43, None, "de", "a")]
+    found = dict(corpus_pipeline.language_id(spark, documents(rows), "").select("doc_id", "lang").collect())
+    assert found == {i: "en" for i in range(20)} | {i: "de" for i in range(20, 40)} | {40: "de", 41: "en"}
+
+
 def test_no_rows(spark, documents):
     made = _chain(spark, documents([]))
     assert [m.count() for m in made] == [0] * 6
