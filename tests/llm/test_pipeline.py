@@ -1,4 +1,5 @@
 import os
+import random
 from collections import Counter
 
 import pytest
@@ -38,10 +39,13 @@ def test_every_stage_on_odd_rows(spark, odd):
 
 
 def test_labels_follow_the_parse(spark, documents):
-    german = "der schnelle braune fuchs springt über den faulen hund und läuft dann weiter durch den wald"
-    english = "the quick brown fox jumps over the lazy dog and then runs further through the forest"
-    rows = [(i, f"{english} {i}", "en", "a") for i in range(20)] + [(i, f"{german} {i}", "de", "a") for i in range(20, 40)]
-    rows += [(40, german, "en", "a"), (41, english, None, "a"), (42, "1 2 3", "en", "a"), (43, None, "de", "a")]
+    rng = random.Random(6)
+    german = "der schnelle braune fuchs springt über den faulen hund und läuft dann weiter durch den dunklen wald".split()
+    english = "the quick brown fox jumps over the lazy dog and then runs further through the darkest forest".split()
+    made = lambda words, n=60: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, made(english), "en", "a") for i in range(20)] + [(i, made(german), "de", "a") for i in range(20, 40)]
+    # A wrong label teaches one window of its text, which is far longer.
+    rows += [(40, made(german, 900), "en", "a"), (41, made(english), None, "a"), (42, "1 2 3", "en", "a"), (43, None, "de", "a")]
     found = dict(corpus_pipeline.language_id(spark, documents(rows), "").select("doc_id", "lang").collect())
     assert found == {i: "en" for i in range(20)} | {i: "de" for i in range(20, 40)} | {40: "de", 41: "en"}
 
