@@ -1,0 +1,234 @@
+"""Table versions, what a stopped writer leaves, and days that cost what changed."""
+
+import datetime
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from ludolens import schemas
+from ludolens.plans import DailyPaths, finish_day, run_daily
+from ludolens.plans.daily import clean_store, write_reports
+from ludolens.sources import (
+    load_processed,
+    rate_table,
+    read_json_or_empty,
+    read_or_empty,
+    read_table,
+    save_processed,
+    upsert_table,
+    versions,
+    write_table,
+)
+from ludolens.sources.state import add_processed
+from ludolens.sources.tables import read_changes
+
+DAY = datetime.date(2025, 3, 1)
+RATES = {"USD": 1.0, "EUR": 1.1}
+NUMBERS = "k bigint, p int"
+
+
+def files(root, pattern="*.parquet"):
+    return {str(f.relative_to(root)) for f in root.rglob(pattern)}
+
+
+def table(spark, rows, schema=NUMBERS):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_versions_replace_append_and_change_parts(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    one = versions.commit(table(spark, [(1, 1), (2, 1), (3, 2), (4, None)]), path, by="p")
+    before = files(tmp_path / "t")
+    two = versions.commit(table(spark, [(5, 1)]), path, by="p", mode="parts", gone=["p=2"], notes={"why": "test"})
+    assert (one.number, two.number, two.changed, two.notes) == (1, 2, ["p=1", "p=2"], {"why": "test"})
+    assert rows(read_table(spark, path, read_table(spark, path).schema)) == [(4, None), (5, 1)]
+    # The part that was left alone keeps its file, the replaced ones are gone.
+    assert len(files(tmp_path / "t") & before) == 1
+    none = versions.part_name("p", None)
+    versions.commit(None, path, mode="parts", gone=[none], spark=spark)
+    assert rows(read_table(spark, path)) == [(5, 1)]
+    versions.commit(table(spark, [(6, 1)]), path, by="p", mode="append")
+    assert rows(read_table(spark, path), "k") == [(5,), (6,)]
+    versions.commit(table(spark, []), path, by="p")
+    assert read_or_empty(spark, path, table(spark, []).schema).count() == 0
+    assert [c.number for c in versions.commits_since(spark, path, 3)] == [4, 5]
+    assert versions.commits_since(spark, path, 9) is None
+    with pytest.raises(ValueError):
+        versions.commit(table(spark, []), path, mode="some")
+
+
+def test_older_versions_are_kept_if_asked(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    one = versions.commit(table(spark, [(1, 1)]), path, keep=2)
+    versions.commit(table(spark, [(2, 2)]), path, keep=2)
+    assert rows(versions.read(spark, path, one)) == [(1, 1)]
+    versions.commit(table(spark, [(3, 3)]), path, keep=2)
+    assert len(files(tmp_path / "t")) == len(files(tmp_path / "t", "v=*/*.parquet")) and len(list((tmp_path / "t").glob("v=*"))) == 2
+
+
+def test_two_writers_of_one_version(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    base = versions.commit(table(spark, [(1, 1)]), path)
+    versions.commit(table(spark, [(2, 2)]), path, base=base)
+    with pytest.raises(Exception, match="(?i)exist"):
+        versions.commit(table(spark, [(3, 3)]), path, base=base)
+    assert rows(read_table(spark, path)) == [(2, 2)]
+    # What the second one wrote goes with the next version.
+    versions.commit(table(spark, [(4, 4)]), path)
+    assert len(list((tmp_path / "t").glob("v=*"))) == 1
+
+
+def test_table_without_versions_is_taken_over(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([(1, "a"), (2, "b")], schemas.APP), path)
+    upsert_table(spark, path, spark.createDataFrame([(2, "c")], schemas.APP), "appid", buckets=4)
+    assert rows(read_table(spark, path, schemas.APP)) == [(1, "a"), (2, "c")]
+    assert not list((tmp_path / "t").glob("part-*"))
+    done = str(tmp_path / "done")
+    write_table(spark.createDataFrame([(1,)], schemas.PROCESSED), done)
+    add_processed(spark.createDataFrame([(1,), (2,)], schemas.PROCESSED), done)
+    assert rows(load_processed(spark, done)) == [(1,), (2,)]
+
+
+def test_upsert_keeps_its_changes(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    apps = lambda *r: spark.createDataFrame(r, schemas.APP)
+    upsert_table(spark, path, apps((1, "a"), (2, "b"), (None, "n")), "appid", buckets=4)
+    assert upsert_table(spark, path, apps((1, "a")), "appid", buckets=4) is None
+    upsert_table(spark, path, apps((1, "x"), (2, "b"), (3, "c")), "appid", buckets=4)
+    upsert_table(spark, path, apps((1, "y"), (None, "m")), "appid", buckets=4)
+    changes = lambda since: rows(read_changes(spark, path, since).select("key", "before.name", "after.name"))
+    assert changes(1) == sorted([(1, "a", "y"), (3, None, "c"), (None, "n", "m")], key=repr)
+    assert changes(2) == sorted([(1, "x", "y"), (None, "n", "m")], key=repr)
+    assert read_changes(spark, path, 3) is None
+    with pytest.raises(ValueError):
+        upsert_table(spark, path, apps((9, "z")), "appid", buckets=8)
+
+
+def _games(ids, price="$%d.50", year=None):
+    return [
+        (0, json.dumps({str(i): {"success": True, "data": {
+            "name": f"g{i}", "price_overview": {"final_formatted": price % i}, "genres": [{"description": f"x{i % 3}"}],
+            "release_date": {"date": f"{year or 2000 + i % 5}"}, "developers": [f"d{i % 4}"]}}}), None)
+        for i in ids
+    ]
+
+
+def _answer(spark, paths, answers, day):
+    write_table(spark.createDataFrame([(n, body, day) for n, body, _ in answers], schemas.RESPONSES), paths.responses)
+
+
+def _list(tmp_path, count):
+    apps = [{"appid": i, "name": f"g{i}"} for i in range(1, count + 1)]
+    (tmp_path / "downloaded_list").write_text(json.dumps({"applist": {"apps": apps}}))
+
+
+REPORTS = ["cleaned", "trends", "outliers", "genre_ranks", "developer_ranks", "predictions"]
+
+
+def _reports(spark, paths, rows):
+    return {name: rows(read_table(spark, getattr(paths, name))) for name in REPORTS}
+
+
+def _anew(spark, paths, tmp_path, rates, rows):
+    """The reports of the same store, all made anew."""
+    other = DailyPaths.under(str(tmp_path / "anew"))
+    fields = {n: getattr(other, n) for n in DailyPaths.__dataclass_fields__}
+    other = DailyPaths(**{**fields, "store": paths.store})
+    write_reports(spark, other, clean_store(spark, other, rates))
+    return _reports(spark, other, rows)
+
+
+@pytest.mark.parametrize("stopped_at", ["catalogue", "processed", "totals/genres"])
+def test_a_day_that_stops_half_way_is_run_again(spark, tmp_path, rows, monkeypatch, stopped_at):
+    paths, rates = DailyPaths.under(str(tmp_path)), rate_table(spark, RATES)
+    _list(tmp_path, 20)
+    _answer(spark, paths, _games(range(1, 11)), DAY)
+    run_daily(spark, paths, rates, DAY, buckets=4)
+    next_day = DAY + datetime.timedelta(days=1)
+    # The next list holds other apps only; the known ones must outlive a stop.
+    (tmp_path / "downloaded_list").write_text(json.dumps({"applist": {"apps": [{"appid": 21, "name": "g21"}]}}))
+    _answer(spark, paths, _games([11, 12, 21]), next_day)
+    publish = versions._publish
+
+    def stop(session, path, commit):
+        if path.endswith(stopped_at):
+            raise RuntimeError("stopped")
+        publish(session, path, commit)
+
+    monkeypatch.setattr(versions, "_publish", stop)
+    with pytest.raises(Exception, match="stopped"):
+        run_daily(spark, paths, rates, next_day, buckets=4)
+    monkeypatch.setattr(versions, "_publish", publish)
+    assert set(range(1, 21)) <= {r["appid"] for r in read_json_or_empty(spark, paths.catalogue, schemas.APP).collect()}
+    assert set(range(1, 11)) <= {r["appid"] for r in load_processed(spark, paths.processed).collect()}
+    run_daily(spark, paths, rates, next_day, buckets=4)
+    assert rows(read_json_or_empty(spark, paths.catalogue, schemas.APP), "appid") == sorted(((i,) for i in range(1, 22)), key=repr)
+    assert rows(load_processed(spark, paths.processed)) == sorted(((i,) for i in [*range(1, 13), 21]), key=repr)
+    assert _reports(spark, paths, rows) == _anew(spark, paths, tmp_path, rates, rows)
+
+
+def test_a_second_day_writes_only_what_changed(spark, tmp_path, rows):
+    paths, rates = DailyPaths.under(str(tmp_path)), rate_table(spark, RATES)
+    _list(tmp_path, 60)
+    _answer(spark, paths, _games(range(1, 51)), DAY)
+    run_daily(spark, paths, rates, DAY, buckets=4)
+    names = ("cleaned", "totals/genres", "totals/developers", "outliers", "processed")
+    before = {name: files(tmp_path / name) for name in names}
+    # One game moves from 2001 to 2003 and two come in 2003; prices in the middle leave the bounds.
+    next_day = DAY + datetime.timedelta(days=1)
+    _answer(spark, paths, [*_games([53, 58]), *_games([21], year=2003)], next_day)
+    summary = run_daily(spark, paths, rates, next_day, buckets=4)
+    assert summary.rows == 52
+    _answer(spark, paths, _games([21], year=2003), next_day)
+    store = versions.current(spark, paths.store)
+    changed = table(spark, [(21, "g21", "2003", "$21.50", ["x0"], ["d1"], [])], schemas.RAW_GAMES)
+    upsert_table(spark, paths.store, changed, "appid", buckets=4)
+    write_reports(spark, paths, clean_store(spark, paths, rates))
+    assert versions.current(spark, paths.store).number == store.number + 1
+    after = {name: files(tmp_path / name) for name in names}
+    for name in ("cleaned", "totals/genres", "totals/developers"):
+        untouched = {f for f in before[name] if "year=2001" not in f and "year=2003" not in f}
+        assert untouched and untouched <= after[name]
+        assert not (before[name] - untouched) & after[name]
+    assert before["processed"] <= after["processed"]
+    assert _reports(spark, paths, rows) == _anew(spark, paths, tmp_path, rates, rows)
+    # Nothing new: no table gets a version.
+    made = {name: versions.current(spark, getattr(paths, name)).number for name in REPORTS}
+    finish_day(spark, paths, rates, next_day, buckets=4)
+    assert made == {name: versions.current(spark, getattr(paths, name)).number for name in REPORTS}
+
+
+def test_only_touched_years_are_read(spark, tmp_path):
+    paths, rates = DailyPaths.under(str(tmp_path)), rate_table(spark, RATES)
+    raw = [(i, f"g{i}", f"{2000 + i % 5}", "$5.00", ["x"], ["d"], []) for i in range(100)]
+    upsert_table(spark, paths.store, table(spark, raw, schemas.RAW_GAMES), "appid", buckets=4)
+    first = clean_store(spark, paths, rates)
+    upsert_table(spark, paths.store, table(spark, [(7, "new", "2002", "$6", [], [], [])], schemas.RAW_GAMES), "appid", buckets=4)
+    second = clean_store(spark, paths, rates)
+    assert second.base == first.version and second.version.changed == ["release_year=2002"]
+    kept = [f for f in second.version.folders if "=2002" not in f]
+    assert kept == [f for f in first.version.folders if "=2002" not in f]
+    assert sorted((r["appid"], r["name"], r["sign"]) for r in second.changes.collect()) == [(7, "g7", -1), (7, "new", 1)]
+
+
+def test_other_rates_clean_everything(spark, tmp_path, rows):
+    paths = DailyPaths.under(str(tmp_path))
+    raw = [(i, f"g{i}", "2001", "€5.00", ["x"], ["d"], []) for i in range(5)]
+    upsert_table(spark, paths.store, table(spark, raw, schemas.RAW_GAMES), "appid", buckets=4)
+    write_reports(spark, paths, clean_store(spark, paths, rate_table(spark, RATES)))
+    assert rows(read_table(spark, paths.trends), "avg_price") == [(5.5,)]
+    write_reports(spark, paths, clean_store(spark, paths, rate_table(spark, {"EUR": 2.0})))
+    assert rows(read_table(spark, paths.trends), "avg_price") == [(10.0,)]
+
+
+def test_processed_ids_are_appended(spark, tmp_path, rows):
+    path = str(tmp_path / "done")
+    ids = lambda *r: spark.createDataFrame([(i,) for i in r], schemas.PROCESSED)
+    save_processed(ids(1, 1, 2), path)
+    before = files(tmp_path / "done")
+    add_processed(ids(2, 3, 3), path)
+    assert before <= files(tmp_path / "done")
+    assert rows(load_processed(spark, path)) == [(1,), (2,), (3,)]
+    assert load_processed(spark, path).agg(F.count_distinct("appid")).first()[0] == 3
