@@ -19,8 +19,8 @@ from ludolens.functions.prices import valid_price
 from ludolens.operators import currency, dedup, details, ids, limits, ordering
 from ludolens.operators import outliers, regression, trends
 from ludolens.plans.clean import clean_games
-from ludolens.plans.daily import DailyPaths, finish_day, prepare_day, run_daily
-from ludolens.plans.fetch import ingest_details, plan_fetch, update_catalogue
+from ludolens.plans.daily import DailyPaths, clean_store, finish_day, prepare_day, run_daily, write_reports
+from ludolens.plans.fetch import capped_details, ingest_details, latest_details, plan_fetch, update_catalogue
 from ludolens.plans.reports import detect_outliers, predict_prices
 from ludolens.samples import RAW_GAMES_SQL, SAMPLE_RATES, raw_games, table
 from ludolens.scratch import scratch_path, write_scratch
@@ -137,6 +137,11 @@ def _call_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _limit_for(log: DataFrame, more: int) -> int:
+    """A daily limit that leaves ``more`` calls today, whatever the log holds."""
+    return log.where(F.col("date") == F.lit(TODAY)).count() + more
+
+
 def _cache(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("user_id").alias("appid"),
@@ -498,27 +503,29 @@ def reset_if_complete(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_check("""
-select cast(count(*) as bigint) as used, greatest(1000 - count(*), 0) as remaining
+select cast(count(*) as bigint) as used, (select count(*) from events) - count(*) as remaining
 from events where cast(ts as date) = date '2024-01-30'
 """)
 def remaining_quota(spark: SparkSession, folder: str) -> DataFrame:
-    """Calls left today."""
-    return limits.remaining_quota(_call_log(spark, folder), TODAY, limit=1000)
+    """Calls left today, of as many as all days made together."""
+    log = _call_log(spark, folder)
+    return limits.remaining_quota(log, TODAY, limit=log.count())
 
 
 @_check("""
 select o_orderkey as appid from (
   select o_orderkey, row_number() over (order by o_totalprice, o_orderkey) as place from orders
 ) where place <= (
-  select greatest(5000 - count(*), 0) from events where cast(ts as date) = date '2024-01-30'
+  select count(*) // 2 from orders
 )
 """)
 def admit_by_quota(spark: SparkSession, folder: str) -> DataFrame:
-    """The cheapest orders, as many as calls are left."""
-    left = limits.remaining_quota(_call_log(spark, folder), TODAY, limit=5000).first()["remaining"]
+    """The cheapest orders, as many as calls are left: enough for half of them."""
     asked = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("appid"), "o_totalprice"
     )
+    log = _call_log(spark, folder)
+    left = limits.remaining_quota(log, TODAY, _limit_for(log, asked.count() // 2)).first()["remaining"]
     return limits.admit(asked, ["o_totalprice", "appid"], left).select("appid")
 
 
@@ -1079,8 +1086,7 @@ with wanted as (
   select *, row_number() over (order by appid) as place from wanted
   where appid not in (select user_id from cached)
 ), quota as (
-  select greatest(1200 - count(*), 0) as remaining
-  from events where cast(ts as date) = date '2024-01-30'
+  select (select count(*) from missing) // 2 as remaining
 )
 select appid, batch_no, 'fetch' as source, '' as details from missing, quota
 where place <= remaining
@@ -1088,15 +1094,12 @@ union all
 select appid, batch_no, 'cache', props from wanted join cached on user_id = appid and place = 1
 """, name="plan_fetch")
 def planned_fetch(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts not yet supplied: served from the cache, or fetched in batches."""
-    plan = plan_fetch(
-        _apps(spark, folder, "part"),
-        _apps(spark, folder, "supplier"),
-        _cache(spark, folder),
-        _call_log(spark, folder),
-        TODAY,
-        limit=1200,
-    )
+    """Parts not yet supplied: served from the cache, or fetched in batches, half of those without an entry."""
+    parts, suppliers = _apps(spark, folder, "part"), _apps(spark, folder, "supplier")
+    cache, log = _cache(spark, folder), _call_log(spark, folder)
+    today = ids.fresh(cache, TODAY).select("appid")
+    missing = parts.join(suppliers.select("appid").union(today), "appid", "left_anti").count()
+    plan = plan_fetch(parts, suppliers, cache, log, TODAY, limit=_limit_for(log, missing // 2))
     return plan.to_fetch.select(
         "appid", "batch_no", F.lit("fetch").alias("source"), F.lit("").alias("details")
     ).unionByName(
@@ -1191,6 +1194,40 @@ def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     return _labelled(read_table(spark, paths.cleaned, schemas.CLEANED_GAMES))
 
 
+@_check(f"""
+{_FLAT_SQL}, latest as (
+  select * from (
+    select *, row_number() over (partition by appid order by batch_no desc, {_LATEST_ORDER})
+      as place from flat
+  ) where place = 1
+), {_cleaned_sql("latest")}, totals as (
+  select release_year, genres, {_AVG} as avg_price, count(*) as games from cleaned group by release_year, genres
+)
+select {_LABEL} as release_year, array_to_string(genres, '|') as genres, avg_price, games,
+  row_number() over (partition by release_year order by games desc, genres) as rank
+from totals
+""")
+def totals_after_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Trends and genre ranks of a second day, made from its changes: a quarter of the games
+    was different on the first day, and another quarter was not there."""
+    paths, rates = DailyPaths.under(scratch_path(spark)), _rates(spark)
+    entries = details.successes(_answers(spark, folder), carry=["batch_no"])
+    rows = write_scratch(latest_details(capped_details(entries)))
+    quarter, schema = F.col("appid") % 4, rows.columns
+    other = {"price": "$1.00", "release_date": "1999"}
+    first = rows.where(quarter != 1).select(
+        *[F.when(quarter == 0, F.lit(other[c])).otherwise(F.col(c)).alias(c) if c in other else c for c in schema]
+    )
+    for day in (first, rows.where(quarter < 2)):
+        upsert_table(spark, paths.store, day, "appid")
+        write_reports(spark, paths, clean_store(spark, paths, rates))
+    averages = _comparable(read_table(spark, paths.trends)).toDF("_year", "_genres", "avg_price")
+    ranks = read_table(spark, paths.genre_ranks)
+    same = F.col("release_year").eqNullSafe(F.col("_year")) & F.col("genres").eqNullSafe(F.col("_genres"))
+    both = ranks.join(averages, same).withColumnRenamed("num_games_by_genre_per_year", "games")
+    return _labelled(both.select("release_year", "genres", "avg_price", "games", "rank"))
+
+
 _WHOLE_DAY = {"layout": "lines", "limit": 1 << 40}
 
 
