@@ -77,7 +77,6 @@ def tokenize(
                     ],
                     ["key", "piece", "start", "length", "ids"],
                 )
-        words.forget()
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(
         pieces, f"key {kind}, piece int, start bigint, length bigint, ids binary"

@@ -1,4 +1,4 @@
-"""Token ids of whole texts, with the ids of each word looked up once per task.
+"""Token ids of whole texts, with the ids of each word looked up once while it is remembered.
 
 The vocabulary splits text into words before it merges, so a word's ids do not
 depend on its neighbours. Texts made of plain Latin characters are split
@@ -24,7 +24,7 @@ WORDS = re.compile(
 )
 _NOT_PLAIN = re.compile("[^\t-\r -~\xa0-į]")
 
-# Words remembered in a task; beyond it the memory starts anew.
+# Words remembered by a worker process over its tasks; beyond it the memory starts anew.
 _REMEMBERED = 300_000
 
 
@@ -58,7 +58,7 @@ class WordEncoder:
             self.known.clear()
         words = [None if "<|" in t or _NOT_PLAIN.search(t) else WORDS.findall(t.lower()) for t in texts]
         known = self.known
-        fresh = list(dict.fromkeys(w for found in words if found for w in found if w not in known))
+        fresh = list(set().union(*filter(None, words)).difference(known))
         if fresh:
             self._learn(fresh)
         return [
@@ -70,10 +70,6 @@ class WordEncoder:
         """Ids of one whole text."""
         return self.encode_all([text])[0]
 
-    def forget(self) -> None:
-        """Give back the memory of the words, at the end of a task."""
-        self.known.clear()
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
