@@ -6,6 +6,7 @@ from ludolens.sources.documents import (
     unwrap_apps,
     write_json,
 )
+from ludolens.sources.json_lists import read_json_list
 from ludolens.sources.lookups import currency_symbols, rate_table
 from ludolens.sources.models import load_model, save_model
 from ludolens.sources.state import (
@@ -32,6 +33,7 @@ __all__ = [
     "load_processed",
     "rate_table",
     "read_catalogue",
+    "read_json_list",
     "read_json_or_empty",
     "read_or_empty",
     "read_table",
