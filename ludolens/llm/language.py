@@ -13,14 +13,15 @@ sorted list, so every character of a sample counts. Texts are parsed whole, in b
 ``BLOCK`` code points, each starting a new phrase, so a long text takes
 no more memory than short ones.
 
-The sample per language is bounded: ``SAMPLE_TEXTS`` texts picked by a hash, one
-window of ``SAMPLE_WINDOW`` code points from each. The model's size is bounded by
-the number of languages, at most ``MAX_LANGUAGES``.
+The sample per language is bounded: ``SAMPLE_TEXTS`` different texts picked by a hash of
+the text alone, one window of ``SAMPLE_WINDOW`` code points from each. The model's size is bounded by
+``MODEL_TEXTS``: beyond ``MODEL_TEXTS / SAMPLE_TEXTS`` languages each gets an equal part of them, but
+at least one text. No language is left out.
 
 Defined cases. A text that is NULL, empty or without a letter is ``und`` with
 score 0. Without labelled texts every text is ``und``. Equal figures go to the
-language first in code point order. Rows with NULL text or label teach nothing; repeated
-rows are learned from like any others. Prediction is a column expression, so all
+language first in code point order. Rows with NULL text or label teach nothing; copies of
+a text teach a language once. Prediction is a column expression, so all
 columns of the input stay as they are.
 """
 
@@ -30,14 +31,17 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ludolens.llm.tables import bound_batches
+from ludolens.scratch import broadcast_small, write_scratch
 
 UNDETERMINED = "und"
 SAMPLE_TEXTS = 160
 SAMPLE_WINDOW = 256
-MAX_LANGUAGES = 256
+# Texts of all languages together, which bounds the model; many languages share them.
+MODEL_TEXTS = 16 * SAMPLE_TEXTS
 BLOCK = 256
 DENSE = 62
 
@@ -78,32 +82,29 @@ def sample_labelled(
     window: int = SAMPLE_WINDOW,
     text: str = "text",
     label: str = "lang",
-    key: str = "doc_id",
 ) -> dict[str, str]:
     """At most ``texts`` windows of text per language, joined, brought to the driver."""
-    known = labelled.where(F.col(label).isNotNull() & has_letter(F.col(text)))
-    counts = known.groupBy(F.col(label).alias("label")).count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
-        return {}
+    known = labelled.where(F.col(label).isNotNull() & has_letter(F.col(text))).select(
+        F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("picked")
+    )
+    # One row per label; copies of a text count once.
+    counts = write_scratch(known.groupBy("label").agg(F.approx_count_distinct("picked").alias("distinct")))
+    taken = max(1, min(texts, MODEL_TEXTS // max(1, counts.count())))
     # Twice as many as wanted are expected, of which those with the lowest hashes stay.
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], min(1.0, 2 * texts / r["count"]))])
-    picked = F.xxhash64(F.col(key), F.col(text))
-    start = F.pmod(picked, F.greatest(F.length(text) - window + 1, F.lit(1)).cast("bigint")) + 1
-    rows = (
-        known.where(F.pmod(picked, F.lit(1 << 20)) < share[F.col(label)] * F.lit(1 << 20))
-        .select(
-            F.col(label).alias("label"),
-            picked.alias("picked"),
-            F.col(text).substr(start.cast("int"), F.lit(window)).alias("window"),
-        )
-        .collect()
+    share = F.least(F.lit(1.0), F.lit(2.0 * taken) / F.col("distinct")) * F.lit(1 << 20)
+    start = F.pmod("picked", F.greatest(F.length("text") - window + 1, F.lit(1)).cast("bigint")) + 1
+    windows = (
+        known.join(broadcast_small(counts), "label")
+        .where(F.pmod("picked", F.lit(1 << 20)) < share)
+        .select("label", "picked", F.col("text").substr(start.cast("int"), F.lit(window)).alias("window"))
+        .distinct()
     )
+    order = W.partitionBy("label").orderBy("picked", "window")
+    rows = windows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= taken).collect()
     found: dict[str, list] = {}
-    for row in sorted(rows, key=lambda r: (r["label"], r["picked"], r["window"])):
+    for row in sorted(rows, key=lambda r: (r["label"], r["place"])):
         found.setdefault(row["label"], []).append(row["window"])
-    return {name: "\n".join(parts[:texts]) for name, parts in found.items()}
+    return {name: "\n".join(parts) for name, parts in found.items()}
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -269,8 +270,7 @@ def identify(
     labelled: DataFrame,
     text: str = "text",
     label: str = "lang",
-    key: str = "doc_id",
 ) -> Callable[[Column], Column]:
     """Learn from ``labelled`` and return the function that predicts."""
-    model = learn(sample_labelled(labelled, text=text, label=label, key=key))
+    model = learn(sample_labelled(labelled, text=text, label=label))
     return predictor(labelled.sparkSession, model)

@@ -120,3 +120,29 @@ def test_scripts_are_told_apart():
     texts = [(name, text(name, 12)) for name in words for _ in range(20)]
     found, _ = language.predict_texts(model, [t for _, t in texts])
     assert found == [name for name, _ in texts]
+
+
+def test_more_languages_than_full_samples(documents):
+    texts = {f"l{i:03}": f"{chr(0x4E00 + i) * 3} {chr(0x4E00 + i) * 2}" for i in range(300)}
+    docs = documents([(i, text, name) for i, (name, text) in enumerate(texts.items())])
+    samples = language.sample_labelled(docs)
+    assert samples == texts
+    names, _ = language.predict_texts(language.learn(samples), list(texts.values()))
+    assert names == list(texts)
+
+
+def test_texts_of_a_language_share_the_bound(documents, monkeypatch):
+    monkeypatch.setattr(language, "MODEL_TEXTS", 10)
+    docs = documents([(i, f"text {chr(97 + i)}", "ab"[i % 2]) for i in range(26)])
+    assert {k: len(v.split("\n")) for k, v in language.sample_labelled(docs).items()} == {"a": 5, "b": 5}
+
+
+def test_copies_teach_once(spark, documents):
+    few = documents([(i, f"something else {chr(97 + i)}", "en") for i in range(20)])
+    copies = spark.range(50_000).select(
+        F.col("id").alias("doc_id"), F.lit("the same text").alias("text"), F.lit("en").alias("lang")
+    )
+    both = few.select("doc_id", "text", "lang").unionByName(copies)
+    parts = language.sample_labelled(both)["en"].split("\n")
+    assert len(parts) == 21 and len(set(parts)) == 21
+    assert language.sample_labelled(both.withColumn("doc_id", -F.col("doc_id"))) == language.sample_labelled(both)
