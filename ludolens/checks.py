@@ -16,7 +16,7 @@ from ludolens import fixed_values as fixed
 from ludolens import schemas
 from ludolens.functions.dates import release_year, year_label, year_prefix
 from ludolens.functions.prices import valid_price
-from ludolens.operators import currency, dedup, details, ids, limits, ordering
+from ludolens.operators import currency, dedup, details, id_sets, ids, limits, ordering
 from ludolens.operators import outliers, regression, trends
 from ludolens.plans.clean import clean_games
 from ludolens.plans.daily import DailyPaths, clean_store, finish_day, prepare_day, run_daily, write_reports
@@ -33,6 +33,7 @@ from ludolens.sources.documents import (
 from ludolens.sources.lookups import rate_table
 from ludolens.sources.models import load_model, save_model
 from ludolens.sources.state import (
+    add_processed,
     load_cache,
     load_calls,
     load_processed,
@@ -453,6 +454,45 @@ def only_new_ids(spark: SparkSession, folder: str) -> DataFrame:
     return ids.only_new(_apps(spark, folder, "customer"), _cache(spark, folder))
 
 
+@_check("""
+select c_custkey as appid from customer
+where not exists (select 1 from events where user_id = c_custkey)
+""")
+def only_new_in_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers without an event, by words of ids."""
+    seen = write_scratch(id_sets.from_ids(_cache(spark, folder)))
+    return id_sets.to_ids(id_sets.without(id_sets.from_ids(_apps(spark, folder, "customer")), seen))
+
+
+@_check("""
+select 'union' as listed, count(distinct id) as ids, 0 as unprocessed, true as complete
+from (select c_custkey as id from customer union all select l_orderkey from lineitem)
+union all
+select 'parts', (select count(*) from part),
+  (select count(*) from part where p_partkey not in (select c_custkey from customer)),
+  not exists (select 1 from part where p_partkey not in (select c_custkey from customer))
+union all
+select 'orders', (select count(distinct l_orderkey) from lineitem),
+  (select count(distinct l_orderkey) from lineitem where l_orderkey not in (select o_orderkey from orders)),
+  not exists (select 1 from lineitem where l_orderkey not in (select o_orderkey from orders))
+""")
+def set_completeness(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and superset tests on words of ids."""
+
+    def of(name: str, key: str) -> DataFrame:
+        return write_scratch(id_sets.from_ids(table(spark, folder, name), key))
+
+    customers, lines = of("customer", "c_custkey"), of("lineitem", "l_orderkey")
+    both = write_scratch(id_sets.union(customers, lines))
+    told = {
+        "union": (both, both),
+        "parts": (of("part", "p_partkey"), customers),
+        "orders": (lines, of("orders", "o_orderkey")),
+    }
+    found = [id_sets.completeness(*sets).select(F.lit(name).alias("listed"), "*") for name, sets in told.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @_check("""
 with latest as (
   select user_id, props, row_number() over (
@@ -1043,6 +1083,16 @@ def processed_ids(spark: SparkSession, folder: str) -> DataFrame:
     return load_processed(spark, path)
 
 
+@_check("select o_custkey as appid from orders union select c_custkey from customer union select l_orderkey from lineitem")
+def processed_added(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids added twice to a stored set; what overlaps is stored once."""
+    path = scratch_path(spark)
+    save_processed(table(spark, folder, "orders").select(F.col("o_custkey").alias("appid")), path)
+    for name, key in (("customer", "c_custkey"), ("lineitem", "l_orderkey")):
+        add_processed(table(spark, folder, name).select(F.col(key).alias("appid")), path)
+    return load_processed(spark, path)
+
+
 @_check("""
 select user_id as appid, props as details, strftime(ts, '%Y-%m-%d') as fetched
 from events where cast(ts as date) >= date '2024-01-29'
