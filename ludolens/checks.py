@@ -630,6 +630,36 @@ def _capped_at_half(batched: DataFrame) -> DataFrame:
     return limits.cap_by_bytes(batched, "batch_no", half, counted)
 
 
+@_check(f"""
+with batched as (
+  select *, cast(floor((row_number() over (order by ts, event_id) - 1) / 100) as bigint) as batch_no
+  from events
+), made as (
+  select * from batched where event_type <> 'click'
+), sized as (
+  select batch_no, sum({_EVENT_BYTES}) as size from made group by 1
+), summed as (
+  select batch_no, coalesce(sum(size) over (
+    order by batch_no rows between unbounded preceding and 1 preceding), 0) as before from sized
+)
+select event_id, batch_no from made
+where batch_no in (
+  select batch_no from summed where before < (select sum(size) // 3 from sized) or before = 0)
+""")
+def made_until_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Event batches without clicks, up to a third of their size; most of the rest is not looked at."""
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type", "props")
+    batched = write_scratch(ordering.assign_batches(events, ["ts", "event_id"], fixed.BATCH_SIZE))
+    counted = ["event_id", "event_type", "props"]
+    unclicked = F.col("event_type") != "click"
+    third = limits.json_size(batched.where(unclicked).select(*counted)).first()["bytes"] // 3
+    first = batched.count() // 50
+    made = limits.make_until_bytes(
+        batched, "batch_no", third, lambda some: some.where(unclicked), counted, first_round=first
+    )
+    return made.select("event_id", "batch_no")
+
+
 @_check(f"""
 with batched as (
   select *, case when event_type <> 'click' then user_id % 97 end as batch_no from events

@@ -301,6 +301,38 @@ def test_json_size_and_cap_follow_a_json_writer(spark):
     assert [kept(1), kept(sizes[0]), kept(sizes[0] + 1), kept(sizes[2]), kept(10**6)] == [1, 1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("first_round", [1, 7, 1000])
+def test_rounds_stop_behind_the_cap(spark, tmp_path, first_round):
+    path = str(tmp_path / "answers")
+    spark.range(2000).select(
+        "id", F.when(F.col("id") >= 10, F.floor(F.col("id") / 10)).alias("batch_no"), F.repeat(F.lit("é"), 5).alias("name")
+    ).write.parquet(path)
+    df, seen = spark.read.parquet(path), []
+
+    def make(some):
+        seen.append(some.count())
+        return some.where("id % 3 > 0")
+
+    whole = make(df)
+    for cap in (0, 1, 3000, 9000, 10**7):
+        del seen[:]
+        expected = limits.cap_by_bytes(whole, "batch_no", cap, ["id", "name"])
+        got = limits.make_until_bytes(df, "batch_no", cap, make, ["id", "name"], first_round=first_round)
+        kept = sorted(r["id"] for r in got.collect())
+        assert kept == sorted(r["id"] for r in expected.collect())
+        # About as much is made as kept, and no row twice.
+        assert sum(seen) <= max(1.5 * 1.5 * len(kept) + 30, first_round + 10) and sum(seen) <= 2000
+        assert len(seen) <= 24
+
+
+def test_rounds_without_rows_or_without_results(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 6)], "id bigint, batch_no int")
+    for some, make in ((df.limit(0), lambda d: d), (df, lambda d: d.where("id > 9"))):
+        assert limits.make_until_bytes(some, "batch_no", 100, make, ["id"], first_round=1).collect() == []
+    nothing = df.where("batch_no is null")
+    assert limits.make_until_bytes(nothing, "batch_no", 100, lambda d: d, ["id"]).count() == 1
+
+
 # --- details
 
 
