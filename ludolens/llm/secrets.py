@@ -7,8 +7,8 @@ cases, vowels and consonants, how much of it dictionary words cover, what its pa
 which words stand around it. A forest trained on labelled findings gives each
 candidate the chance of being a secret. Everything runs as DataFrame functions and the library's forest.
 
-The forest is fitted on a bounded sample: ``TRAIN_ROWS`` labelled findings per label, those with
-the lowest hashes. The dictionary holds the ``DICTIONARY_WORDS`` most frequent
+The forest is fitted on a bounded sample: ``TRAIN_ROWS`` different labelled findings per label, those with
+the lowest hashes; a finding that many documents repeat counts once. The dictionary holds the ``DICTIONARY_WORDS`` most frequent
 plain words of the whole text column. Both bounds are parameters.
 
 Where no reviewer's labels are given, ``label_by_format`` labels what is beyond doubt: known key
@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludolens.llm.tables import whole_row
+from ludolens.operators.ordering import top_k
 from ludolens.scratch import broadcast_small, write_scratch
 
 MIN_LENGTH = 16
@@ -222,18 +223,18 @@ def label_by_format(found: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, rows_per_label: int = TRAIN_ROWS) -> RandomForestClassificationModel | None:
     """A forest fitted on labelled findings with features, or None if a label is missing."""
-    known = labelled.where("label is not null")
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    if set(counts) != {0.0, 1.0}:
+    known = labelled.where("label is not null").withColumn("_rank", F.xxhash64("candidate", "before", "word_after"))
+    # Repeated findings count once. The rest is cut roughly first, then to the lowest hashes.
+    counts = known.groupBy("label").agg(F.approx_count_distinct("_rank").alias("n"))
+    different = {r["label"]: r["n"] for r in counts.collect()}
+    if set(different) != {0.0, 1.0}:
         return None
-    # Every row whose hash lies under its label's share is taken; the share sets the expected number.
-    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, rows_per_label / n))])
-    rank = F.pmod(F.xxhash64("candidate", "before", "word_after"), F.lit(1 << 30))
-    sample = write_scratch(
-        known.where(rank < shares[F.col("label")] * (1 << 30)).select(
-            "label", *FEATURES, F.lit(1.0).alias("_one")
-        )
-    )
+    shares = F.create_map(*[F.lit(x) for k, n in different.items() for x in (k, min(1.0, 2 * rows_per_label / n))])
+    low = known.where(F.pmod("_rank", F.lit(1 << 30)) < shares[F.col("label")] * (1 << 30))
+    order = [F.pmod("_rank", F.lit(1 << 30)), F.col("_rank"), *FEATURES]
+    once = write_scratch(low.select("label", "_rank", *FEATURES).dropDuplicates(["label", "_rank", *FEATURES]))
+    lowest = top_k(once, rows_per_label, order, within=["label"], name="_place")
+    sample = write_scratch(lowest.select("label", *FEATURES))
     taken = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(taken) < 2:
         return None
