@@ -1221,9 +1221,9 @@ select {_FLAT_COLUMNS} from (
 """, name="ingest_details")
 def ingested_details(spark: SparkSession, folder: str) -> DataFrame:
     """Answers flattened, capped at half their size, and put into a store."""
-    answers = _answers(spark, folder)
+    answers = write_scratch(_answers(spark, folder))
     half = limits.json_size(details.flatten_details(answers)).first()["bytes"] // 2
-    return _labelled(_ingested(spark, folder, half))
+    return _labelled(_ingested(spark, folder, answers, half))
 
 
 @_check(f"""
@@ -1240,10 +1240,10 @@ select {_FLAT_COLUMNS} from (
 """)
 def ingest_uncapped(spark: SparkSession, folder: str) -> DataFrame:
     """The same with every answer."""
-    return _labelled(_ingested(spark, folder))
+    return _labelled(_ingested(spark, folder, _answers(spark, folder)))
 
 
-def _ingested(spark: SparkSession, folder: str, max_bytes: int | None = None) -> DataFrame:
+def _ingested(spark: SparkSession, folder: str, answers: DataFrame, max_bytes: int | None = None) -> DataFrame:
     none = F.array().cast("array<string>")
     store = table(spark, folder, "orders").select(
         (F.col("o_orderkey") * 8 + 1).alias("appid"),
@@ -1255,7 +1255,7 @@ def _ingested(spark: SparkSession, folder: str, max_bytes: int | None = None) ->
         none.alias("publishers"),
     )
     done = store.select("appid")
-    return ingest_details(_answers(spark, folder), store, done, max_bytes=max_bytes).store
+    return ingest_details(answers, store, done, max_bytes=max_bytes).store
 
 
 @_check(f"""
