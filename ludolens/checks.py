@@ -1080,6 +1080,17 @@ def roundtrip_zstd(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@_check("""
+select o_orderkey, o_custkey from orders where o_custkey in (select s_suppkey from supplier where s_suppkey <= 5)
+""")
+def lookup_with_bloom(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of a few customers out of a table with a Bloom filter on them."""
+    path = scratch_path(spark)
+    write_table(table(spark, folder, "orders"), path, row_group_bytes=1 << 16, bloom={"o_custkey": 10_000})
+    few = [r[0] for r in table(spark, folder, "supplier").where("s_suppkey <= 5").select("s_suppkey").collect()]
+    return read_table(spark, path).where(F.col("o_custkey").isin(few)).select("o_orderkey", "o_custkey")
+
+
 @_check(_ORDER_SQL, name="json_roundtrip")
 def roundtrip_json(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written as JSON lines and read back."""

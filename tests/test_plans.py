@@ -124,6 +124,27 @@ def test_scan_is_pruned_and_filtered(spark, tmp_path):
     assert "ReadSchema: struct<genres:array<string>,price_usd:double,release_year:int>" in text
 
 
+def test_bloom_filters_are_written_and_skip_files(spark, tmp_path, rows):
+    import pyarrow.parquet as pq
+
+    # Even ids in any order: least and greatest value of each group say nothing.
+    ids = spark.range(40_000).select((F.col("id") * 2).alias("appid")).repartition(4)
+    sizes, scanned = {}, {}
+    for name, bloom in (("plain", None), ("bloom", {"appid": 10_000})):
+        path = str(tmp_path / name)
+        write_table(ids, path, bloom=bloom)
+        sizes[name] = sum(f.stat().st_size for f in (tmp_path / name).glob("part-*"))
+        found = read_table(spark, path).where("appid in (501, 4000)")
+        assert rows(found) == [(4000,)]
+        plan = found._jdf.queryExecution().executedPlan()
+        leaves = plan.collectLeaves()
+        scanned[name] = sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+        assert sum(pq.read_metadata(f).num_rows for f in (tmp_path / name).glob("part-*")) == 40_000
+    assert sizes["bloom"] > sizes["plain"]
+    # One file of four holds the id.
+    assert scanned["plain"] == 40_000 and scanned["bloom"] < 20_000
+
+
 def test_ranking_moves_only_counts_to_one_task(spark):
     games = checks.clean_games(checks.raw_games(spark, "/root/testdata/sf0.001"), rate_table(spark, RATES))
     text = plan_text(trends.rank_developers(games))
