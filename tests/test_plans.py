@@ -18,6 +18,7 @@ from ludolens.plans import (
     run_daily,
     update_catalogue,
 )
+from ludolens.plans import daily
 from ludolens.plans.daily import take_in
 from ludolens.sources import (
     load_cache,
@@ -109,6 +110,28 @@ def test_broadcast_is_measured(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_many_ids_in_small_files_are_not_broadcast(spark, tmp_path):
+    spark.range(20_000).coalesce(1).write.parquet(str(tmp_path / "ids"))
+    ids_read = spark.read.parquet(str(tmp_path / "ids"))
+    small = scratch.broadcast_small(ids_read, max_bytes=1000)
+    texts = spark.range(10).withColumn("t", F.lit("t"))
+    assert "BroadcastHashJoin" in plan_text(texts.join(ids_read, "id"))
+    assert "SortMergeJoin" in plan_text(texts.join(small, "id"))
+
+
+def test_asked_ids_are_measured(spark, tmp_path, rates, monkeypatch):
+    paths = DailyPaths.under(str(tmp_path))
+    _list_apps(tmp_path, 5)
+    prepare_day(spark, paths, DAY)
+    _answer(spark, paths, [_good(1), _good(99), (0, json.dumps({"2": {"success": False}}), DAY)])
+    measured = []
+    monkeypatch.setattr(daily, "broadcast_small", lambda df: measured.append(df.columns) or df.hint("merge"))
+    counted = take_in(spark, paths, DAY)
+    assert ["_asked"] in measured
+    assert counted == {"answers": 3, "unreadable": 0, "unasked": 1, "failed": 1}
+    assert _left(spark, paths)["store"] == [1] and _left(spark, paths)["cache"] == [1]
+
+
 def test_trend_aggregates_before_the_shuffle(spark):
     df = read_or_empty(spark, "/nowhere/at/all", schemas.CLEANED_GAMES)
     assert "partial_try_sum" in plan_text(trends.avg_price_trends(df, explode=True))
