@@ -325,6 +325,18 @@ def test_rounds_stop_behind_the_cap(spark, tmp_path, first_round):
         assert len(seen) <= 24
 
 
+def test_each_round_is_measured_once(spark, monkeypatch):
+    df = spark.range(2000).select("id", F.floor(F.col("id") / 10).cast("int").alias("batch_no"))
+    calls, measure = [], limits.json_bytes
+    monkeypatch.setattr(limits, "json_bytes", lambda part: calls.append(1) or measure(part))
+    expected = sorted(r["id"] for r in limits.cap_by_bytes(df, "batch_no", 9000, ["id"]).collect())
+    calls.clear()
+    seen = []
+    got = limits.make_until_bytes(df, "batch_no", 9000, lambda d: seen.append(1) or d, ["id"], first_round=50)
+    assert sorted(r["id"] for r in got.collect()) == expected
+    assert len(calls) == len(seen) > 1
+
+
 def test_rounds_without_rows_or_without_results(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 6)], "id bigint, batch_no int")
     for some, make in ((df.limit(0), lambda d: d), (df, lambda d: d.where("id > 9"))):
