@@ -16,6 +16,7 @@ from ludolens.sources import (
     read_or_empty,
     read_table,
     save_processed,
+    tables,
     upsert_table,
     versions,
     write_table,
@@ -232,3 +233,32 @@ def test_processed_ids_are_appended(spark, tmp_path, rows):
     assert before <= files(tmp_path / "done")
     assert rows(load_processed(spark, path)) == [(1,), (2,), (3,)]
     assert load_processed(spark, path).agg(F.count_distinct("appid")).first()[0] == 3
+
+
+def test_changes_of_an_upsert_are_written_once(spark, tmp_path, rows, monkeypatch):
+    written, write = [], tables.write_scratch
+    monkeypatch.setattr(tables, "write_scratch", lambda df: (written.append(df.columns), write(df))[1])
+    path, kind = str(tmp_path / "t"), "k bigint, name string"
+    first = table(spark, [(1, "a"), (2, "b"), (None, "c")], kind)
+    made = upsert_table(spark, path, first, "k", buckets=2)
+    # New rows alone are noted aside; what changes goes to the feed at once.
+    assert written == [["k", "name", "bucket"]]
+    found = read_changes(spark, path, 0)
+    assert found.columns == ["key", "before", "after"]
+    assert rows(found.select("key", "before.name", "after.name")) == rows(first.selectExpr("k", "null", "name"))
+    assert upsert_table(spark, path, first, "k", buckets=2) is None
+    assert [f.name for f in (tmp_path / "t" / "_changes").iterdir() if f.is_dir()] == [made.notes["changes"]]
+    upsert_table(spark, path, table(spark, [(2, "x"), (3, None)], kind), "k", buckets=2)
+    assert sorted(map(tuple, read_changes(spark, path, made.number).select("key", "before.name", "after.name").collect())) == [
+        (2, "b", "x"),
+        (3, None, None),
+    ]
+    assert read_table(spark, path, first.schema).count() == 4
+
+
+def test_an_upsert_takes_over_a_table_without_versions(spark, tmp_path, rows):
+    path, kind = str(tmp_path / "t"), "k bigint, name string, bucket int"
+    own = F.pmod(F.xxhash64("k"), F.lit(2)).cast("int")
+    table(spark, [(1, "a", 0), (2, "b", 0)], kind).withColumn("bucket", own).write.partitionBy("bucket").parquet(path)
+    upsert_table(spark, path, table(spark, [(2, "x"), (3, "y")], "k bigint, name string"), "k", buckets=2)
+    assert rows(read_table(spark, path).select("k", "name")) == [(1, "a"), (2, "x"), (3, "y")]
