@@ -24,11 +24,8 @@ WORDS = re.compile(
 )
 _NOT_PLAIN = re.compile("[^\t-\r -~\xa0-į]")
 
-# Words that a worker process remembers over its tasks. Beyond it a new generation starts, which takes over what it
-# meets from the one before, so frequent words stay known.
-_REMEMBERED = 100_000
-# New words encoded with one call, as the library holds far more of each token than its id.
-_LEARNED_AT_ONCE = 4_096
+# Words remembered by a worker process over its tasks; beyond it the memory starts anew.
+_REMEMBERED = 300_000
 
 
 # What ids that close a word end with.
@@ -41,7 +38,6 @@ class WordEncoder:
         entries = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
         self.closes = np.array([(entry or "").endswith(_CLOSES) for entry in entries])
         self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -59,14 +55,12 @@ class WordEncoder:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit numbers."""
         if len(self.known) > _REMEMBERED:
-            self.known, self.before = {}, self.known
+            self.known.clear()
         words = [None if "<|" in t or _NOT_PLAIN.search(t) else WORDS.findall(t.lower()) for t in texts]
-        known, before = self.known, self.before
-        missing = set().union(*filter(None, words)).difference(known)
-        known.update((word, before[word]) for word in missing.intersection(before))
-        fresh = list(missing.difference(before))
-        for at in range(0, len(fresh), _LEARNED_AT_ONCE):
-            self._learn(fresh[at : at + _LEARNED_AT_ONCE])
+        known = self.known
+        fresh = list(set().union(*filter(None, words)).difference(known))
+        if fresh:
+            self._learn(fresh)
         return [
             self._whole(text).tobytes() if found is None else b"".join(map(known.__getitem__, found))
             for text, found in zip(texts, words)
