@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ludolens import schemas
 from ludolens.operators import dedup, details, ids, limits, ordering, outliers, regression, trends
 
 TODAY = datetime.date(2025, 3, 2)
@@ -388,6 +389,45 @@ def test_flatten_details(spark, rows):
     assert {r["appid"] for r in served.collect()} == {10, 11, 16}
 
 
+def test_answers_are_read_without_their_ids_as_names(spark, rows):
+    one = '{"success":true,"data":{"name":"\\u00e9 \\"7\\": x"}}'
+    bodies = [
+        *[f'{{"{i}":{one}}}' for i in ("5", "007", "99999999999999999999", "x5", "5x", "", "5\\n", "5\\u0030", "-5", "٣")],
+        f'{{"5":{one},"6":{one},"5":{one},"0":{one}}}',
+        f' {{ "5" : {one} }}',
+        f'{{"5" : {one}}}',
+        f"{{'5':{one}}}",
+        '{"5":null,"6":{"success":true}}',
+        '{"5":{"success":"yes"},"6":{"success":true,"data":[1.10]}}',
+        '{"5":[1]}',
+        f'{{"5":{one}',
+        f'{{"5":{one},}}',
+        f'{{"5":{one}}}}} {{"6":{one}}}',
+        f'[{{"5":{one}}}]',
+        '{"5',
+        '{"5"',
+        '{"5"}',
+        '{"',
+        "{}",
+        "",
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(bodies)), "n bigint, body string")
+    read = F.from_json("body", schemas.DETAILS_ENVELOPE)
+    plain = df.select("n", F.explode_outer(read).alias("_id", "_answer")).select(
+        "n",
+        F.expr("try_cast(_id as bigint)").alias("appid"),
+        F.coalesce("_answer.success", F.lit(False)).alias("success"),
+        F.when(F.col("_answer.success"), F.col("_answer.data")).alias("details"),
+    )
+    assert rows(details.answers(df, carry=["n"])) == rows(plain)
+    wanted = rows(plain.where("success").drop("success"))
+    assert rows(details.successes(df, carry=["n"])) == wanted and len(wanted) > 15
+    text = F.col("body")
+    read_as = {b: t for b, t in df.select(text, details._with_one_name(text)).collect()}
+    assert read_as[bodies[0]] == read_as[bodies[1]] == f'{{"0":{one}}}' and read_as[bodies[3]] == bodies[3]
+
+
 # --- model
 
 
