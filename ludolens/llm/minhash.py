@@ -220,7 +220,9 @@ def near_duplicates(
         return pa.table({"child": child, "parent": parent})
 
     links = texts.groupBy("bucket", "low", "high").applyInArrow(compare, "child bigint, parent bigint")
-    reach = components(links, "child", "parent")
+    # Written, as thinning them in the same task takes a second Python worker. Spark uses idle workers in turn, so each
+    # of twice as many would come to hold what later stages remember.
+    reach = components(write_scratch(links), "child", "parent")
     classes = equal.join(reach, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("class_id")
     )

@@ -89,3 +89,18 @@ def test_odd_rows(odd):
         [(1, 1), (1, 1), (2, 1), (3, 3), (4, 4), (5, 5), (6, 6), (7, 7), (8, 8)] + [(None, None)] * 3, key=repr
     )
     assert minhash.near_duplicates(odd.limit(0)).collect() == []
+
+
+def test_links_are_written_before_the_next_python_step(documents, monkeypatch):
+    plans, components = [], minhash.components
+
+    def seen(links, *names):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return components(links, *names)
+
+    monkeypatch.setattr(minhash, "components", seen)
+    same = "the quick brown fox jumps over the lazy dog and runs away into the dark wood at night"
+    docs = documents([(1, same), (2, same + " again"), (3, "und wieder ein ganz anderer Text")])
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    assert len(plans) == 1 and "InArrow" not in plans[0]
