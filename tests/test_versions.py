@@ -2,19 +2,24 @@
 
 import datetime
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from ludolens import schemas
+from ludolens import schemas, scratch
 from ludolens.plans import DailyPaths, finish_day, run_daily
+from ludolens.plans import daily
 from ludolens.plans.daily import clean_store, write_reports
 from ludolens.sources import (
+    load_cache,
     load_processed,
     rate_table,
     read_json_or_empty,
     read_or_empty,
     read_table,
+    save_cache,
     save_processed,
     tables,
     upsert_table,
@@ -262,3 +267,96 @@ def test_an_upsert_takes_over_a_table_without_versions(spark, tmp_path, rows):
     table(spark, [(1, "a", 0), (2, "b", 0)], kind).withColumn("bucket", own).write.partitionBy("bucket").parquet(path)
     upsert_table(spark, path, table(spark, [(2, "x"), (3, "y")], "k bigint, name string"), "k", buckets=2)
     assert rows(read_table(spark, path).select("k", "name")) == [(1, "a"), (2, "x"), (3, "y")]
+
+
+def _scratch_files(spark):
+    """Files that steps of this application left or still need."""
+    folder = Path(scratch.scratch_folder(spark).removeprefix("file:")) / "ludolens" / spark.sparkContext.applicationId
+    return {f for f in folder.rglob("*.parquet")} if folder.exists() else set()
+
+
+def _shuffle_files(spark):
+    """Shuffle files on the disks of this application."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(folder.getPath()) for folder in manager.localDirs()]
+    return {f for folder in folders for f in folder.rglob("shuffle_*.data")}
+
+
+def test_shuffles_go_when_their_query_ends(spark, rows):
+    dealt = lambda: spark.range(1000).repartition(3, "id")
+    before = _shuffle_files(spark)
+    kept = dealt()
+    kept.write.format("noop").mode("overwrite").save()
+    assert _shuffle_files(spark) - before
+    before, left = _shuffle_files(spark), _scratch_files(spark)
+    with scratch.scratch_scope(spark):
+        gone = dealt()
+        written = scratch.write_scratch(gone)
+        deadline = time.monotonic() + 20
+        while _shuffle_files(spark) - before and time.monotonic() < deadline:
+            time.sleep(0.1)
+        assert not _shuffle_files(spark) - before
+        # Rows are the same if the query is run again.
+        assert rows(gone) == rows(gone) == rows(written) == rows(spark.range(1000))
+        made = _scratch_files(spark) - left
+        assert made and all(".zstd." in f.name for f in made)
+    assert _scratch_files(spark) == left
+    assert spark.conf.get(scratch._DROP_SHUFFLES, None) is None
+
+
+@pytest.mark.parametrize("rounds", [1, 3, 100])
+def test_an_upsert_in_rounds_is_the_same(spark, tmp_path, rows, rounds):
+    kind, path = "k bigint, name string", str(tmp_path / "t")
+    first = [*((i, f"a{i}") for i in range(40)), (None, "n")]
+    upsert_table(spark, path, table(spark, first, kind), "k", buckets=8, rounds=rounds)
+    second = [*((i, f"a{i}") for i in range(20)), *((i, "b") for i in range(30, 50)), (None, "m")]
+    left = _scratch_files(spark)
+    made = upsert_table(spark, path, table(spark, second, kind), "k", buckets=8, rounds=rounds)
+    assert _scratch_files(spark) == left
+    assert rows(read_table(spark, path).select("k", "name")) == sorted((dict(first) | dict(second)).items(), key=repr)
+    told = rows(read_changes(spark, path, made.number - 1).select("key", "before.name", "after.name"))
+    was = dict(first)
+    assert told == sorted(((k, was.get(k), n) for k, n in second if was.get(k) != n), key=repr)
+    assert upsert_table(spark, path, table(spark, second, kind), "k", buckets=8, rounds=rounds) is None
+
+
+def test_a_large_day_works_in_rounds_and_moves_no_texts(spark, tmp_path, rows, monkeypatch):
+    rates, found = rate_table(spark, RATES), {}
+    asked = [*_games(range(1, 31)), *_games([3, 7], year=2004), (0, json.dumps({"12": {"success": False}}), None)]
+    answers = [*asked, (0, "broken", None), *_games([99])]
+    for name in ("small", "large"):
+        paths = DailyPaths.under(str(tmp_path / name))
+        (tmp_path / name).mkdir()
+        _list(tmp_path / name, 40)
+        _answer(spark, paths, answers, DAY)
+        if name == "large":
+            # As if there were too many ids for a broadcast, but not for the few that were not planned.
+            monkeypatch.setattr(scratch, "ROUND_ROWS", 8)
+            monkeypatch.setattr(daily, "BROADCAST_BYTES", 100)
+            moved = []
+            monkeypatch.setattr(daily, "broadcast_small", lambda df: moved.append(df.columns) or scratch.broadcast_small(df))
+        days = [run_daily(spark, paths, rates, DAY, buckets=4), finish_day(spark, paths, rates, DAY, buckets=4)]
+        # Predictions sum doubles, in the order of files.
+        reports = {n: r for n, r in _reports(spark, paths, rows).items() if n != "predictions"}
+        found[name] = days, reports, rows(load_cache(spark, paths.cache)), rows(load_processed(spark, paths.processed))
+    assert found["small"] == found["large"]
+    # Only the one id that was not planned meets the answers.
+    assert moved[0] == ["_other"] and ["_asked"] not in moved
+    # Cleaning wrote a year in several rounds.
+    years = (tmp_path / "large" / "cleaned").rglob("release_year=*")
+    assert max(len(list(f.glob("*.parquet"))) for f in years) > 1
+
+
+def test_the_cache_of_one_day_is_not_shuffled(spark, tmp_path, rows, monkeypatch):
+    path, hints = str(tmp_path / "cache"), []
+    hint = type(spark.range(0)).hint
+    monkeypatch.setattr(type(spark.range(0)), "hint", lambda df, name, *on: hints.append(name) or hint(df, name, *on))
+    entries = [(i, "{}", DAY) for i in range(5)]
+    save_cache(table(spark, entries[:3], schemas.DETAILS_CACHE), path, DAY)
+    earlier = (9, "{}", DAY - datetime.timedelta(days=1))
+    assert not hints
+    save_cache(table(spark, [earlier], schemas.DETAILS_CACHE), path)
+    save_cache(table(spark, entries, schemas.DETAILS_CACHE), path, DAY)
+    assert hints == ["rebalance"]
+    assert rows(load_cache(spark, path)) == sorted([*entries, earlier], key=repr)
+    assert load_cache(spark, path).where(F.col("fetched_date") == F.lit(DAY)).count() == 5
